@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairnflow.llm.bpe import bpe_digest
 from cairnflow.llm.exact_dedup import exact_dedup
 from cairnflow.llm.line_dedup import line_dedup_digest
+from cairnflow.llm.pivot_search import pivot_top_k
 from cairnflow.llm.simhash import near_dedup_digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +24,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup_digest(_documents(spark, sf_dir), size=3, distance=3)
 
 
+def op3_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5, scale=256.0)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_digest(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir), keep="largest")
 
@@ -30,7 +42,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(_documents(spark, sf_dir), min_docs=10, min_chars=1)
 
 
-QUERIES |= {"op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
+QUERIES |= {"op3_pivot_search": op3_pivot_search, "op4_bpe": op4_bpe, "op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
 
 ORACLE_SQL["op5_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -53,3 +65,16 @@ SELECT any_value(e.doc_id) AS doc_id, count(*) AS n_lines, count(f.k) AS n_dropp
        sha256(coalesce(string_agg(e.l, chr(10) ORDER BY e.pos) FILTER (WHERE f.k IS NULL), '')) AS kept_sha256
 FROM exploded e LEFT JOIN frequent f ON e.k = f.k GROUP BY e.row_no
 """
+
+ORACLE_SQL["op3_pivot_search"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(generate_series(1, len(q.v)), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5
+"""
