@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cairnflow.llm.bpe import bpe_digest
 from cairnflow.llm.exact_dedup import exact_dedup
 from cairnflow.llm.line_dedup import line_dedup_digest
+from cairnflow.llm.packing import pack
 from cairnflow.llm.pivot_search import pivot_top_k
 from cairnflow.llm.simhash import near_dedup_digest
 
@@ -42,7 +43,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(_documents(spark, sf_dir), min_docs=10, min_chars=1)
 
 
-QUERIES |= {"op3_pivot_search": op3_pivot_search, "op4_bpe": op4_bpe, "op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, size=1024, end_id=2)
+
+
+QUERIES |= {"op8_packing": op8_packing, "op3_pivot_search": op3_pivot_search, "op4_bpe": op4_bpe, "op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
 
 ORACLE_SQL["op5_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
