@@ -99,8 +99,8 @@ def _search(k: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        parts = [np.stack(c.to_numpy()) for c in (queries.v, queries.d, rows.v, rows.d)]
-        found = best_of_block(queries.vec_id.to_numpy(), parts[0], parts[1], rows.vec_id.to_numpy(), parts[2], parts[3], k)
+        parts = [np.stack(c.to_numpy()) for c in (queries.v, queries.d, rows.c_v, rows.c_d)]
+        found = best_of_block(queries.vec_id.to_numpy(), parts[0], parts[1], rows.c_id.to_numpy(), parts[2], parts[3], k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     return run
@@ -134,8 +134,11 @@ def pivot_top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     query_blocks = max(1, -(-n // every // QUERY_ROWS))
     asked = table.where(F.pmod("vec_id", F.lit(every)) == 0).withColumn("qb", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(query_blocks)).cast("int")).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     # rows that repeat an id are spread too, by their values
-    offered = table.withColumn("cb", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    found = asked.groupBy("dim", "qb", "cb").cogroup(offered.groupBy("dim", "qb", "cb")).applyInPandas(_search(k), "query_id long, vec_id long, score long")
+    offered = table.select(
+        F.col("vec_id").alias("c_id"), F.col("v").alias("c_v"), F.col("d").alias("c_d"), F.col("dim").alias("c_dim"),
+        F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int").alias("c_cb"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("c_qb"),
+    )
+    found = asked.groupBy("dim", "qb", "cb").cogroup(offered.groupBy("c_dim", "c_qb", "c_cb")).applyInPandas(_search(k), "query_id long, vec_id long, score long")
     # in two steps, so that no list grows with the number of blocks
     ordered = found.select("query_id", F.struct((-F.col("score")).alias("down"), "vec_id").alias("x"), F.pmod(F.xxhash64("vec_id"), F.lit(int(blocks**0.5))).alias("lot"))
     firsts = ordered.groupBy("query_id", "lot").agg(F.slice(F.array_sort(F.collect_list("x")), 1, k).alias("top"))
