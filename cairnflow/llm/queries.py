@@ -10,6 +10,7 @@ from cairnflow.llm.bpe import bpe_digest
 from cairnflow.llm.exact_dedup import exact_dedup
 from cairnflow.llm.line_dedup import line_dedup_digest
 from cairnflow.llm.packing import pack
+from cairnflow.llm.pii import pii_scan
 from cairnflow.llm.pivot_search import pivot_top_k
 from cairnflow.llm.secrets import secret_scan
 from cairnflow.llm.simhash import near_dedup_digest
@@ -50,11 +51,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, size=1024, end_id=2)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_scan(_documents(spark, sf_dir))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_documents(spark, sf_dir))
 
 
-QUERIES |= {"op10_secrets": op10_secrets, "op8_packing": op8_packing, "op3_pivot_search": op3_pivot_search, "op4_bpe": op4_bpe, "op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
+QUERIES |= {"op9_pii": op9_pii, "op10_secrets": op10_secrets, "op8_packing": op8_packing, "op3_pivot_search": op3_pivot_search, "op4_bpe": op4_bpe, "op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
 
 ORACLE_SQL["op5_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
