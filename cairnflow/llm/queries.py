@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cairnflow.llm.bpe import bpe_digest
 from cairnflow.llm.exact_dedup import exact_dedup
+from cairnflow.llm.langid import language_id
 from cairnflow.llm.line_dedup import line_dedup_digest
 from cairnflow.llm.packing import pack
 from cairnflow.llm.pii import pii_scan
@@ -41,6 +42,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir), keep="largest")
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return language_id(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), folds=4, held_out=2)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(_documents(spark, sf_dir), min_docs=10, min_chars=1)
 
@@ -59,7 +66,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_documents(spark, sf_dir))
 
 
-QUERIES |= {"op9_pii": op9_pii, "op10_secrets": op10_secrets, "op8_packing": op8_packing, "op3_pivot_search": op3_pivot_search, "op4_bpe": op4_bpe, "op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
+QUERIES |= {"op6_langid": op6_langid, "op9_pii": op9_pii, "op10_secrets": op10_secrets, "op8_packing": op8_packing, "op3_pivot_search": op3_pivot_search, "op4_bpe": op4_bpe, "op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
 
 ORACLE_SQL["op5_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
