@@ -15,6 +15,7 @@ from cairnflow.llm.pii import pii_scan
 from cairnflow.llm.pivot_search import pivot_top_k
 from cairnflow.llm.secrets import secret_scan
 from cairnflow.llm.simhash import near_dedup_digest
+from cairnflow.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -24,6 +25,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), "toxic", folds=3, held_out=1, least=0.7)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup_digest(_documents(spark, sf_dir), size=3, distance=3)
 
@@ -66,7 +71,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_documents(spark, sf_dir))
 
 
-QUERIES |= {"op6_langid": op6_langid, "op9_pii": op9_pii, "op10_secrets": op10_secrets, "op8_packing": op8_packing, "op3_pivot_search": op3_pivot_search, "op4_bpe": op4_bpe, "op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
+QUERIES |= {"op1_toxicity": op1_toxicity, "op6_langid": op6_langid, "op9_pii": op9_pii, "op10_secrets": op10_secrets, "op8_packing": op8_packing, "op3_pivot_search": op3_pivot_search, "op4_bpe": op4_bpe, "op2_simhash": op2_simhash, "op5_exact_dedup": op5_exact_dedup, "op7_line_dedup": op7_line_dedup}
 
 ORACLE_SQL["op5_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
