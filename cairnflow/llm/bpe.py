@@ -141,9 +141,13 @@ class Codec:
         """word -> (its ids as little-endian unsigned 32-bit integers, the bytes its ids decode to)."""
         if len(self.new) > CACHED:
             self.new, self.old = {}, self.new
-        for w in words & self.old.keys() - self.new.keys():
-            self.new[w] = self.old[w]
-        todo = list(words - self.new.keys())
+        todo = []
+        for w in words.difference(self.new):
+            held = self.old.get(w)
+            if held is None:
+                todo.append(w)
+            else:
+                self.new[w] = held
         if todo:
             ids = self.encode_words([w.encode("utf-8") for w in todo])
             for w, x, text in zip(todo, ids, self.decode(ids), strict=True):
@@ -169,7 +173,7 @@ def _round_trip(ranks_path: str, pattern: str, with_ids: bool):
             known = c.learn(set().union(*texts))
             counts, shas, decoded, ids = [], [], [], []
             for words in texts:
-                pairs = [known[w] for w in words]
+                pairs = list(map(known.__getitem__, words))
                 raw = b"".join([p[0] for p in pairs])
                 counts.append(len(raw) // 4)
                 shas.append(hashlib.sha256(raw).hexdigest())

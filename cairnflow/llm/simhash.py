@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnflow.llm.common import keyed_texts, slices, written
+from cairnflow.llm.common import keyed_texts, slices, text_or_empty, written
 from cairnflow.llm.components import components
 
 BITS = 64
@@ -47,14 +47,15 @@ def _fingerprints(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             fps = [fingerprint(x, size) for x in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(fps, pa.int64())], names=["doc_id", "text_key", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp of every row; no words: fp 0."""
-    return keyed_texts(docs, id_col, text_col).mapInArrow(_fingerprints(size), "doc_id long, fp long")
+    """doc_id, text_key (a hash of the text), fp of every row; no words: fp 0."""
+    keyed = keyed_texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    return keyed.mapInArrow(_fingerprints(size), "doc_id long, text_key long, fp long")
 
 
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +171,8 @@ def near_pairs(fps: DataFrame, total: int, distance: int = 3) -> DataFrame:
     """u, v: all pairs of distinct fingerprints at ``distance`` or fewer differing bits.
 
     The smaller fingerprint is indexed by each part's value, the larger probes every value within that part's
-    threshold, and a pair leaves the join only if its whole distance holds; exact, with no cap on a bucket.
+    threshold, and a pair leaves the join only if its whole distance holds, and only from the first part that finds
+    it. Exact, with no cap on a bucket.
     """
     if distance < 1:
         raise ValueError("equal fingerprints need no search")
@@ -184,25 +186,77 @@ def near_pairs(fps: DataFrame, total: int, distance: int = 3) -> DataFrame:
     probe = probes[0]
     for more in probes[1:]:
         probe = probe.unionByName(more)
-    near = (index.part == probe.part) & (index.value == probe.value) & (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance)
-    return index.join(probe, near).select("u", "v").distinct()
+    differ = F.col("u").bitwiseXOR(F.col("v"))
+    first = F.lit(True)
+    for i, (group, t) in enumerate(parts[:-1]):
+        mask = sum(1 << b for b in group)
+        first &= (index.part <= i) | (F.bit_count(differ.bitwiseAND(F.lit(mask - (1 << BITS) if mask >> (BITS - 1) else mask).cast("long"))) > t)
+    near = (index.part == probe.part) & (index.value == probe.value) & (F.col("u") < F.col("v")) & (F.bit_count(differ) <= distance) & first
+    return index.join(probe, near).select("u", "v")
 
 
-def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp, component_id of every row: the smallest id that links of ``distance`` or fewer bits reach.
+def _alike(size: int, least: float):
+    def shingles(text: str) -> set[bytes]:
+        words = text.encode("utf-8", "surrogatepass").lower().split()
+        return set(map(b" ".join, zip(*(words[k:] for k in range(size)), strict=False))) if len(words) >= size else {b" ".join(words)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(slices([batch], "a"), "b"):
+                last, own, kept = None, set(), []
+                for a, b in zip(part.column("a").to_pylist(), part.column("b").to_pylist(), strict=True):
+                    if a != last:
+                        last, own = a, shingles(a)
+                    other = shingles(b)
+                    both = len(own & other)
+                    kept.append(both >= least * (len(own) + len(other) - both))
+                yield part.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
+
+    return run
+
+
+def alike_pairs(pairs: DataFrame, table: DataFrame, docs: DataFrame, size: int, least: float, id_col: str, text_col: str) -> DataFrame:
+    """The pairs whose texts' shingle sets have a Jaccard similarity of at least ``least``.
+
+    Of each fingerprint the text of its smallest id stands for all; the texts of fingerprints without a pair move no
+    further than one join."""
+    ends = pairs.select("u").union(pairs.select(F.col("v").alias("u"))).distinct().withColumnRenamed("u", "fp")
+    chosen = table.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+    texts = keyed_texts(docs, id_col, text_col)
+    held = written(texts.join(chosen, texts.doc_id.eqNullSafe(chosen.doc_id)).select("fp", "text"), "near-texts")
+    both = pairs.join(held.select(F.col("fp").alias("u"), F.col("text").alias("a")), "u").join(held.select(F.col("fp").alias("v"), F.col("text").alias("b")), "v")
+    return both.select("u", "v", "a", "b").mapInArrow(_alike(size, least), "u long, v long").distinct()
+
+
+def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_key, fp, component_id, root of every row: the smallest id that links of ``distance`` or fewer bits
+    reach, and the smallest fingerprint there, which names the group.
 
     Texts are lower-cased in A-Z and cut into words at ASCII blanks; shingles of ``size`` words count as often as they
     occur; a text of fewer words is one shingle, a text of none (null, empty, blanks) has fingerprint 0 and is linked
-    like any other. Equal fingerprints meet in one row before the search, so copies cost one row however many there
+    like any other. With ``similarity`` a link must also hold between the shingle sets (Jaccard). Equal fingerprints meet in one row before the search, so copies cost one row however many there
     are. A null id has its own rows in the result and never names a component unless all its ids are null.
     """
     table = written(fingerprints(docs, size, id_col, text_col), "fingerprints")
     fps = written(table.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    linked = components(near_pairs(fps, fps.count(), distance)).select(F.col("node").alias("fp"), "root")
+    pairs = near_pairs(fps, fps.count(), distance)
+    if similarity is not None:
+        pairs = alike_pairs(written(pairs, "near-pairs"), table, docs, size, similarity, id_col, text_col)
+    linked = components(pairs).select(F.col("node").alias("fp"), "root")
     named = linked.join(fps, "fp").groupBy("root").agg(F.min("least").alias("reached"))
-    far = linked.join(named, "root").select("fp", "reached")
-    classes = fps.join(far, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"))
-    return table.join(classes, "fp").select("doc_id", "fp", "component_id")
+    far = linked.join(named, "root").select("fp", "reached", "root")
+    classes = fps.join(far, "fp", "left").select("fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("reached")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return table.join(classes, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
+
+
+def one_of_each(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of ``near_dedup`` the row of the smallest id (no id comes last), of
+    rows that share it the one of the smallest text_key, of rows that repeat both one. All columns as they were."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    stays = classes.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_sh_id"), F.col("k.text_key").alias("_sh_key")).distinct()
+    keyed = docs.withColumn("_sh_own", F.xxhash64(text_or_empty(text_col)))
+    kept = keyed.join(stays, F.col(id_col).cast("long").eqNullSafe(F.col("_sh_id")) & (F.col("_sh_own") == F.col("_sh_key")), "left_semi")
+    return kept.dropDuplicates([id_col, "_sh_own"]).drop("_sh_own")
 
 
 def near_dedup_digest(docs: DataFrame, **options) -> DataFrame:
