@@ -15,24 +15,25 @@ from cairnflow.llm.common import keyed_texts, slices
 #: Text bytes of one step: large enough that a recursion's rounds are spread over many words.
 STEP_BYTES = 4 << 20
 #: Words kept per generation of a worker's cache; two generations at most are held.
-CACHED = 150_000
+CACHED = 300_000
 #: Rows that one recursive query may add up before its last state is taken as a new start.
-ROWS = 1_000_000
+ROWS = 3_000_000
 #: Bytes from which a word is contracted at every occurrence of its best pair in one round.
 LONG = 256
 
-# One round: each word's leftmost pair of least rank becomes one token; words without a pair leave the recursion.
+# One round: each live word's leftmost pair of least rank becomes one token; a word without a pair is handed on once
+# more as finished. A pair's rank, its position and that of its right token are one number, whose minimum is the pair.
 ENCODE = """
-WITH RECURSIVE bpe(round, w, pos, tok) AS (
-  SELECT 0, w, pos, tok FROM start
+WITH RECURSIVE bpe(live, w, pos, tok) AS (
+  SELECT TRUE, w, pos, tok FROM start
   UNION ALL
-  SELECT round + 1, w, pos, CASE WHEN pos = spot THEN best ELSE tok END FROM (
-    SELECT s.round, s.w, s.pos, s.tok, c.best, c.spot, c.gone FROM bpe s JOIN (
-      SELECT w, min(m) AS best, arg_min(pos, m::BIGINT * 4294967296 + pos) AS spot, arg_min(npos, m::BIGINT * 4294967296 + pos) AS gone
-      FROM (SELECT w, pos, tok, lead(tok) OVER o AS nxt, lead(pos) OVER o AS npos FROM bpe WINDOW o AS (PARTITION BY w ORDER BY pos)) p
-      JOIN merges g ON g.l = p.tok AND g.r = p.nxt GROUP BY w) c ON s.w = c.w)
-  WHERE pos <> gone)
-SELECT w, list(tok ORDER BY pos) AS toks FROM (SELECT *, max(round) OVER (PARTITION BY w) AS last FROM bpe) WHERE round = last GROUP BY w ORDER BY w
+  SELECT c.least IS NOT NULL, s.w, s.pos, CASE WHEN s.pos = ((c.least >> 8) & 255) THEN (c.least >> 16)::INTEGER ELSE s.tok END
+  FROM bpe s LEFT JOIN (
+    SELECT w, min((m::BIGINT << 16) + (pos << 8) + npos) AS least
+    FROM (SELECT w, pos, tok, lead(tok) OVER o AS nxt, lead(pos) OVER o AS npos FROM bpe WHERE live WINDOW o AS (PARTITION BY w ORDER BY pos)) p
+    JOIN merges g ON g.l = p.tok AND g.r = p.nxt GROUP BY w) c ON s.w = c.w
+  WHERE s.live AND (c.least IS NULL OR s.pos <> (c.least & 255)))
+SELECT w, list(tok ORDER BY pos) AS toks FROM bpe WHERE NOT live GROUP BY w ORDER BY w
 """
 
 # The same for long words: every occurrence of the least rank is contracted, from the left where occurrences overlap.
@@ -62,7 +63,7 @@ WITH RECURSIVE bpe(round, w, pos, tok) AS (
 SELECT w, pos, tok, round FROM (SELECT *, max(round) OVER (PARTITION BY w) AS last FROM bpe) WHERE round = last ORDER BY w, pos
 """
 
-DECODE = "SELECT w, string_agg(hex, '' ORDER BY pos) AS hex FROM ids JOIN vocab USING (id) GROUP BY w ORDER BY w"
+DECODE = "SELECT w, from_hex(string_agg(hex, '' ORDER BY pos)) AS text FROM ids JOIN vocab USING (id) GROUP BY w ORDER BY w"
 
 
 class Codec:
@@ -84,8 +85,8 @@ class Codec:
         self.con.execute("CREATE TABLE vocab AS SELECT * FROM vocab_in")
         self.con.unregister("merges_in")
         self.con.unregister("vocab_in")
-        self.new: dict[str, tuple[bytes, bytes]] = {}
-        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.new: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.old: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
 
     def _start(self, words: list[bytes]) -> pa.Table:
         sizes = np.array([len(w) for w in words])
@@ -93,65 +94,87 @@ class Codec:
         first = np.repeat(np.cumsum(sizes) - sizes, sizes)
         return pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "pos": (np.arange(len(text)) - first).astype(np.int32), "tok": self.byte_id[text]})
 
-    def _short(self, words: list[bytes]) -> list[list[int]]:
+    def _short(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids laid end to end, number of ids of each word)."""
         self.con.register("start", self._start(words))
-        return self.con.sql(ENCODE).to_arrow_table().column("toks").to_pylist()
+        toks = self.con.sql(ENCODE).to_arrow_table().column("toks").combine_chunks()
+        return toks.flatten().to_numpy(), np.diff(toks.offsets.to_numpy())
 
-    def _long(self, word: bytes) -> list[int]:
+    def _long(self, word: bytes) -> tuple[np.ndarray, np.ndarray]:
         state = self._start([word])
         while True:
             rounds = max(1, ROWS // len(state))
             self.con.register("start", state)
             state = self.con.sql(ENCODE_LONG.format(rounds=rounds)).to_arrow_table()
             if state.column("round")[0].as_py() < rounds:
-                return state.column("tok").to_pylist()
+                return state.column("tok").to_numpy(), np.array([len(state)])
             state = state.select(["w", "pos", "tok"])
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each word: its own id if it is a token, else the fixpoint of the merges."""
-        out: list[list[int] | None] = [[self.ranks[w]] if w in self.ranks else [] if not w else None for w in words]
-        todo = [k for k, x in enumerate(out) if x is None]
-        for k in (k for k in todo if len(words[k]) >= LONG):
-            out[k] = self._long(words[k])
-        short = [k for k in todo if len(words[k]) < LONG]
-        step, held = [], 0
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids laid end to end, number of ids of each word): its own id if a word is a token, else the fixpoint."""
+        whole = [self.ranks.get(w, -1) for w in words]
+        groups: list[list[int]] = [[]]
+        held = 0
+        for k, w in enumerate(words):
+            if whole[k] < 0 and w:
+                if len(w) >= LONG:
+                    groups.append([k])
+                else:
+                    groups[0].append(k)
+        parts, order = [], []
+        short, step = groups[0], []
         for n, k in enumerate(short):
             step.append(k)
             held += len(words[k]) ** 2 // 2
             if held > ROWS or n == len(short) - 1:
-                for i, toks in zip(step, self._short([words[i] for i in step]), strict=True):
-                    out[i] = toks
+                parts.append(self._short([words[i] for i in step]))
+                order += step
                 step, held = [], 0
-        return out
-
-    def decode(self, ids: list[list[int]]) -> list[bytes]:
+        for (k,) in groups[1:]:
+            parts.append(self._long(words[k]))
+            order.append(k)
+        own = [k for k, i in enumerate(whole) if i >= 0]
+        parts.append((np.array([whole[k] for k in own], dtype=np.int64), np.ones(len(own), dtype=np.int64)))
+        order += own
+        flat, counts = np.concatenate([f for f, _ in parts]), np.concatenate([c for _, c in parts])
+        sizes = np.zeros(len(words), dtype=np.int64)
+        sizes[order] = counts
+        # from the order of the groups to that of the words
+        first = np.zeros(len(words), dtype=np.int64)
+        first[order] = np.cumsum(counts) - counts
+        at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        return flat[at].astype(np.int32), sizes
+
+    def decode(self, flat: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The bytes of each list of ids: its tokens joined in the order of their positions. An unknown id is an error."""
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(sizes.sum()))
         if len(flat) and not (0 <= flat.min() and flat.max() < len(self.ranks)):
             raise ValueError("an id is not in the vocabulary")
-        self.con.register("ids", pa.table({"w": np.repeat(np.arange(len(ids), dtype=np.int32), sizes), "pos": np.arange(len(flat), dtype=np.int64), "id": flat}))
-        out = [b""] * len(ids)
+        self.con.register("ids", pa.table({"w": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), "pos": np.arange(len(flat), dtype=np.int32 if len(flat) < 1 << 31 else np.int64), "id": flat.astype(np.int32)}))
         found = self.con.sql(DECODE).to_arrow_table()
-        for w, text in zip(found.column("w").to_pylist(), found.column("hex").to_pylist(), strict=True):
-            out[w] = bytes.fromhex(text)
+        texts = found.column("text").to_pylist()
+        if len(texts) == len(sizes):
+            return texts
+        out = [b""] * len(sizes)
+        for w, text in zip(found.column("w").to_pylist(), texts, strict=True):
+            out[w] = text
         return out
 
-    def learn(self, words: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """word -> (its ids as little-endian unsigned 32-bit integers, the bytes its ids decode to)."""
-        if len(self.new) > CACHED:
-            self.new, self.old = {}, self.new
+    def learn(self, words: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """(a word's ids as little-endian unsigned 32-bit integers, the bytes its ids decode to) by word."""
+        if len(self.new[0]) > CACHED:
+            self.new, self.old = ({}, {}), self.new
+        ids, texts = self.new
         todo = []
-        for w in words.difference(self.new):
-            held = self.old.get(w)
-            if held is None:
-                todo.append(w)
+        for w in words.difference(ids):
+            if w in self.old[0]:
+                ids[w], texts[w] = self.old[0][w], self.old[1][w]
             else:
-                self.new[w] = held
+                todo.append(w)
         if todo:
-            ids = self.encode_words([w.encode("utf-8") for w in todo])
-            for w, x, text in zip(todo, ids, self.decode(ids), strict=True):
-                self.new[w] = np.array(x, dtype="<u4").tobytes(), text
+            flat, sizes = self.encode_words([w.encode("utf-8") for w in todo])
+            raw, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+            ids.update(zip(todo, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+            texts.update(zip(todo, self.decode(flat, sizes), strict=True))
         return self.new
 
 
@@ -170,14 +193,14 @@ def _round_trip(ranks_path: str, pattern: str, with_ids: bool):
         c = codec(ranks_path, pattern)
         for part in slices(batches, most=STEP_BYTES):
             texts = [c.split(x) for x in part.column("text").to_pylist()]
-            known = c.learn(set().union(*texts))
+            known_ids, known_texts = c.learn(set().union(*texts))
             counts, shas, decoded, ids = [], [], [], []
             for words in texts:
-                pairs = list(map(known.__getitem__, words))
-                raw = b"".join([p[0] for p in pairs])
+                raw = b"".join(map(known_ids.__getitem__, words))
                 counts.append(len(raw) // 4)
                 shas.append(hashlib.sha256(raw).hexdigest())
-                decoded.append(b"".join([p[1] for p in pairs]))
+                text = b"".join(map(known_texts.__getitem__, words))
+                decoded.append(text if with_ids else hashlib.sha256(text).hexdigest())
                 if with_ids:
                     ids.append(np.frombuffer(raw, dtype="<u4").astype(np.int32))
             columns = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(shas, pa.string())]
@@ -185,7 +208,7 @@ def _round_trip(ranks_path: str, pattern: str, with_ids: bool):
                 columns += [pa.array(ids, pa.list_(pa.int32())), pa.array([x.decode("utf-8") for x in decoded], pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "ids", "decoded"]
             else:
-                columns += [pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())]
+                columns += [pa.array(decoded, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -215,7 +238,8 @@ def _decode(ranks_path: str, pattern: str):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts = c.decode([x or [] for x in part.column("ids").to_pylist()])
+                lists = [x or [] for x in part.column("ids").to_pylist()]
+                texts = c.decode(np.array([i for x in lists for i in x], dtype=np.int64), np.array([len(x) for x in lists], dtype=np.int64))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.binary())], names=["doc_id", "decoded"])
 
     return run
