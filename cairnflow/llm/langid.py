@@ -72,7 +72,8 @@ class Pieces:
         numbers, h = [], np.zeros(len(codes), dtype=np.uint64)
         for n in range(1, LONGEST + 1):
             h = h * BASE
-            h[: len(codes) - n + 1] += codes[n - 1 :] if n > 1 else codes
+            whole = max(0, len(codes) - n + 1)
+            h[:whole] += codes[n - 1 : n - 1 + whole]
             keys, ids = self.sorted[n - 1]
             out = np.full(len(codes), self.count, dtype=np.int64)
             if len(keys):
@@ -188,11 +189,13 @@ class Scorer:
         self.rows = np.concatenate([self.rows, *found])
 
     def __call__(self, texts: list[str]) -> list[tuple[str, float]]:
+        if not self.languages:
+            return [(UNKNOWN, 0.0)] * len(texts)
         words = [words_of(x) for x in texts]
         self._learn(words)
         out = []
         for text, own in zip(texts, words, strict=True):
-            if not self.languages or not any(map(str.isalpha, text)):
+            if not any(map(str.isalpha, text)):
                 out.append((UNKNOWN, 0.0))
                 continue
             total = self.rows[np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))].sum(0)
