@@ -264,13 +264,16 @@ def fit(texts: list[str], labels: list[int]) -> Machine | None:
 
 
 def distinct_rows(texts: list[str], hashes: int = 8, shared: int = 4) -> list[int]:
-    """The texts, by number, that share fewer than ``shared`` of ``hashes`` min-hashes of their words with one before."""
+    """The texts, by number, that share fewer than ``shared`` of ``hashes`` min-hashes of their runs of three words with
+    one before."""
     from zlib import crc32
 
     held: dict[tuple[int, int], list[int]] = {}
     out = []
     for n, text in enumerate(texts):
-        h = np.array([crc32(w.encode("utf-8", "surrogatepass")) for w in set(text.lower().split())] or [0], dtype=np.uint64)
+        words = text.lower().split()
+        runs = {" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))}
+        h = np.array([crc32(r.encode("utf-8", "surrogatepass")) for r in runs], dtype=np.uint64)
         keys = [(k, int((h * np.uint64(2 * k + 0x9E3779B1) % np.uint64(4_294_967_291)).min())) for k in range(hashes)]
         if max(Counter(r for key in keys for r in held.get(key, ())).values(), default=0) < shared:
             out.append(n)
