@@ -134,6 +134,11 @@ def part_value(group: list[int]):
     return out
 
 
+def flipped(value, masks: list[int]):
+    """The value with each mask's bits flipped, as an array."""
+    return F.transform(F.array(*[F.lit(x).cast("long") for x in masks]), lambda x: x.bitwiseXOR(value))
+
+
 def plan_partitions(fps: DataFrame, total: int, distance: int) -> list[tuple[list[int], int]]:
     """(bit group, threshold) of each part to probe.
 
@@ -158,7 +163,7 @@ def plan_partitions(fps: DataFrame, total: int, distance: int) -> list[tuple[lis
             measured = pairs.get((m, i), 0.0)
             row = [0.0]
             for t in range(0, budget + m):
-                probes = total * sum(len(list(combinations(range(len(group)), k))) for k in range(t + 1))
+                probes = max(total, 1) * sum(len(list(combinations(range(len(group)), k))) for k in range(t + 1))
                 row.append(PROBE_COST * probes + CANDIDATE_COST * measured * model[min(t, len(model) - 1)] / max(model[0], 1e-300))
             costs.append(row)
         cost, thresholds = allocate(costs, budget)
@@ -181,8 +186,7 @@ def near_pairs(fps: DataFrame, total: int, distance: int = 3) -> DataFrame:
     probes = []
     for i, (group, t) in enumerate(parts):
         masks = [sum(1 << b for b in flips) for k in range(t + 1) for flips in combinations(range(len(group)), k)]
-        value = part_value(group)
-        probes.append(fps.select(F.col("fp").alias("v"), F.lit(i).alias("part"), F.explode(F.transform(F.array(*[F.lit(x).cast("long") for x in masks]), lambda x, value=value: x.bitwiseXOR(value))).alias("value")))
+        probes.append(fps.select(F.col("fp").alias("v"), F.lit(i).alias("part"), F.explode(flipped(part_value(group), masks)).alias("value")))
     probe = probes[0]
     for more in probes[1:]:
         probe = probe.unionByName(more)
@@ -215,15 +219,15 @@ def _alike(size: int, least: float):
     return run
 
 
-def alike_pairs(pairs: DataFrame, table: DataFrame, docs: DataFrame, size: int, least: float, id_col: str, text_col: str) -> DataFrame:
+def alike_pairs(pairs: DataFrame, fps: DataFrame, docs: DataFrame, size: int, least: float, id_col: str, text_col: str) -> DataFrame:
     """The pairs whose texts' shingle sets have a Jaccard similarity of at least ``least``.
 
-    Of each fingerprint the text of its smallest id stands for all; the texts of fingerprints without a pair move no
+    Of each fingerprint the text of one row stands for all; the texts of fingerprints without a pair move no
     further than one join."""
     ends = pairs.select("u").union(pairs.select(F.col("v").alias("u"))).distinct().withColumnRenamed("u", "fp")
-    chosen = table.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    texts = keyed_texts(docs, id_col, text_col)
-    held = written(texts.join(chosen, texts.doc_id.eqNullSafe(chosen.doc_id)).select("fp", "text"), "near-texts")
+    chosen = fps.join(ends, "fp").select("fp", F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
+    texts = keyed_texts(docs, id_col, text_col).withColumn("own_key", F.xxhash64("text"))
+    held = written(texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("own_key") == F.col("one_key"))).select("fp", "text").dropDuplicates(["fp"]), "near-texts")
     both = pairs.join(held.select(F.col("fp").alias("u"), F.col("text").alias("a")), "u").join(held.select(F.col("fp").alias("v"), F.col("text").alias("b")), "v")
     return both.select("u", "v", "a", "b").mapInArrow(_alike(size, least), "u long, v long").distinct()
 
@@ -238,14 +242,16 @@ def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3, similarity: fl
     are. A null id has its own rows in the result and never names a component unless all its ids are null.
     """
     table = written(fingerprints(docs, size, id_col, text_col), "fingerprints")
-    fps = written(table.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    fps = written(table.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("one")), "distinct-fingerprints")
     pairs = near_pairs(fps, fps.count(), distance)
     if similarity is not None:
-        pairs = alike_pairs(written(pairs, "near-pairs"), table, docs, size, similarity, id_col, text_col)
+        pairs = alike_pairs(written(pairs, "near-pairs"), fps, docs, size, similarity, id_col, text_col)
     linked = components(pairs).select(F.col("node").alias("fp"), "root")
     named = linked.join(fps, "fp").groupBy("root").agg(F.min("least").alias("reached"))
     far = linked.join(named, "root").select("fp", "reached", "root")
+    # written, so that both sides of the last join have an exchange of their own and a hot fingerprint can be split
     classes = fps.join(far, "fp", "left").select("fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("reached")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    classes = written(classes, "classes")
     return table.join(classes, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
 
 
