@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnflow.model import EXAMPLES, MAX_ATTEMPTS, PENDING, TERMINAL, State
@@ -12,47 +12,56 @@ LOTS = 64
 INFORMATIONAL = ["orphaned_blob", "tombstoned_with_payload"]
 
 
-def invariants(t: dict[str, DataFrame], max_attempts: int = MAX_ATTEMPTS) -> dict[str, DataFrame]:
-    """name -> key (text) of the rows that break it; t has artifacts, payloads, skips, work, blobs, segments."""
+def _each(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
+    """invariant, key of the rows that break each rule, in one pass over the table."""
+    broken = F.filter(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]), lambda x: x.isNotNull())
+    return df.select(F.explode(broken).alias("invariant"), F.col(key).cast("string").alias("key"))
+
+
+def invariants(t: dict[str, DataFrame], max_attempts: int = MAX_ATTEMPTS) -> list[DataFrame]:
+    """invariant, key (text) of the rows that break it; t has artifacts, payloads, skips, work, blobs, segments.
+
+    Rules over the same rows or the same join share it: the artifacts are read once for all rules on their own columns,
+    once for those on their blobs, and once for each of the other tables."""
     a, p, s, w, b, g = (t[k] for k in ("artifacts", "payloads", "skips", "work", "blobs", "segments"))
-    own = lambda df, c="id": df.select(F.col(c).cast("string").alias("key"))
     state = lambda *xs: F.col("state").isin([int(x) for x in xs])
     a_of = lambda df: df.join(a.select(F.col("id").alias("artifact_id"), "state", "deleted_at"), "artifact_id")
-    ids = lambda df: df.select(F.col("artifact_id").alias("id"))
-    twice = a.groupBy("change_seq").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("updated_at").alias("d")).where("n > 1 and d > 1")
-    return {
-        "ready_without_payload": own(a.where(state(State.READY)).join(ids(p), "id", "left_anti")),
-        "payload_without_ready": own(a_of(p).where(~state(State.READY)), "artifact_id"),
-        "need_convert_without_blob": own(a.where(state(State.NEED_CONVERT)).join(b.select(F.col("sha256").alias("blob_sha256")), "blob_sha256", "left_anti")),
-        "need_metadata_with_blob": own(a.where(state(State.NEED_METADATA) & F.col("blob_sha256").isNotNull())),
-        "no_metadata_with_digest": own(a.where(state(State.NO_METADATA) & F.col("metadata_sha256").isNotNull())),
-        "skipped_without_skip": own(a.where(state(State.SKIPPED)).join(ids(s), "id", "left_anti")),
-        "quarantined_without_work": own(a.where(state(State.QUARANTINED)).join(ids(w.where("quarantined_at is not null")), "id", "left_anti")),
-        "deleted_without_time": own(a.where(state(State.DELETED) & F.col("deleted_at").isNull())),
-        "time_without_deleted": own(a.where(~state(State.DELETED) & F.col("deleted_at").isNotNull())),
-        "unknown_state": own(a.where(~state(*State))),
-        "permanent_skip_with_version": own(s.where("permanent and version is not null"), "artifact_id"),
-        "open_skip_without_version": own(s.where("not permanent and version is null"), "artifact_id"),
-        "skip_of_unskipped": own(a_of(s).where(~state(State.SKIPPED)), "artifact_id"),
-        "work_of_finished": own(a_of(w).where(state(*TERMINAL)), "artifact_id"),
-        "attempts_above_most": own(w.where(F.col("attempts") > max_attempts), "artifact_id"),
-        "most_attempts_unquarantined": own(w.where((F.col("attempts") == max_attempts) & F.col("quarantined_at").isNull()), "artifact_id"),
-        "blob_unresolved": own(a.where("blob_sha256 is not null").join(b.select(F.col("sha256").alias("blob_sha256")), "blob_sha256", "left_anti")),
-        "segment_unresolved": own(b.join(g.select(F.col("id").alias("segment_id")), "segment_id", "left_anti"), "sha256"),
-        "orphaned_blob": own(b.join(a.select(F.col("blob_sha256").alias("sha256")), "sha256", "left_anti"), "sha256"),
-        "duplicate_change_seq": own(twice, "change_seq"),
-        "name_outside_ready": own(a.where(~state(State.READY) & F.col("target_name").isNotNull())),
-        "tombstoned_with_payload": own(a_of(p).where("deleted_at is not null"), "artifact_id"),
+    without = lambda rows, other: rows.join(other.select(F.col("artifact_id").alias("id")), "id", "left_anti")
+    twice = a.groupBy("change_seq").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("updated_at").alias("d"))
+    own = {
+        "need_metadata_with_blob": state(State.NEED_METADATA) & F.col("blob_sha256").isNotNull(),
+        "no_metadata_with_digest": state(State.NO_METADATA) & F.col("metadata_sha256").isNotNull(),
+        "deleted_without_time": state(State.DELETED) & F.col("deleted_at").isNull(),
+        "time_without_deleted": ~state(State.DELETED) & F.col("deleted_at").isNotNull(),
+        "unknown_state": ~state(*State),
+        "name_outside_ready": ~state(State.READY) & F.col("target_name").isNotNull(),
     }
-
-
-def report(found: dict[str, DataFrame], examples: int = EXAMPLES) -> DataFrame:
+    unresolved = {"need_convert_without_blob": state(State.NEED_CONVERT), "blob_unresolved": F.col("blob_sha256").isNotNull()}
+    skips = {"permanent_skip_with_version": F.col("permanent") & F.col("version").isNotNull(), "open_skip_without_version": ~F.col("permanent") & F.col("version").isNull()}
+    attempts = {"attempts_above_most": F.col("attempts") > max_attempts, "most_attempts_unquarantined": (F.col("attempts") == max_attempts) & F.col("quarantined_at").isNull()}
+    return [
+        _each(a, "id", own),
+        _each(a.join(b.select(F.col("sha256").alias("blob_sha256")), "blob_sha256", "left_anti"), "id", unresolved),
+        _each(without(a.where(state(State.READY)), p), "id", {"ready_without_payload": F.lit(True)}),
+        _each(without(a.where(state(State.SKIPPED)), s), "id", {"skipped_without_skip": F.lit(True)}),
+        _each(without(a.where(state(State.QUARANTINED)), w.where("quarantined_at is not null")), "id", {"quarantined_without_work": F.lit(True)}),
+        _each(a_of(p), "artifact_id", {"payload_without_ready": ~state(State.READY), "tombstoned_with_payload": F.col("deleted_at").isNotNull()}),
+        _each(s, "artifact_id", skips),
+        _each(a_of(s), "artifact_id", {"skip_of_unskipped": ~state(State.SKIPPED)}),
+        _each(w, "artifact_id", attempts),
+        _each(a_of(w), "artifact_id", {"work_of_finished": state(*TERMINAL)}),
+        _each(b.join(g.select(F.col("id").alias("segment_id")), "segment_id", "left_anti"), "sha256", {"segment_unresolved": F.lit(True)}),
+        _each(b.join(a.select(F.col("blob_sha256").alias("sha256")), "sha256", "left_anti"), "sha256", {"orphaned_blob": F.lit(True)}),
+        _each(twice, "change_seq", {"duplicate_change_seq": (F.col("n") > 1) & (F.col("d") > 1)}),
+    ]
+
+
+def report(found: list[DataFrame], examples: int = EXAMPLES) -> DataFrame:
     """invariant, informational, violations, examples (the first few keys): one job over the union of all checks.
 
     Rows are ranked inside lots first, so that an invariant which many rows break is no single group."""
-    parts = [df.select(F.lit(name).alias("invariant"), "key") for name, df in found.items()]
-    rows = parts[0]
-    for more in parts[1:]:
+    rows = found[0]
+    for more in found[1:]:
         rows = rows.unionByName(more)
     lots = rows.withColumn("lot", F.pmod(F.xxhash64("key"), F.lit(LOTS)))
     counts = lots.groupBy("invariant").agg(F.count(F.lit(1)).alias("violations"))

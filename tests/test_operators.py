@@ -129,7 +129,7 @@ def test_clean_registry_has_no_violation(spark):
 
 
 def test_report_caps_examples(spark):
-    found = {"x": spark.range(100).select(F.format_string("%03d", "id").alias("key"))}
+    found = [spark.range(100).select(F.lit("x").alias("invariant"), F.format_string("%03d", "id").alias("key"))]
     row = checks.report(found).first()
     assert row.violations == 100 and row.examples == [f"{k:03d}" for k in range(20)]
 
