@@ -219,40 +219,87 @@ def _alike(size: int, least: float):
     return run
 
 
-def alike_pairs(pairs: DataFrame, fps: DataFrame, docs: DataFrame, size: int, least: float, id_col: str, text_col: str) -> DataFrame:
-    """The pairs whose texts' shingle sets have a Jaccard similarity of at least ``least``.
-
-    Of each fingerprint the text of one row stands for all; the texts of fingerprints without a pair move no
-    further than one join."""
-    ends = pairs.select("u").union(pairs.select(F.col("v").alias("u"))).distinct().withColumnRenamed("u", "fp")
-    chosen = fps.join(ends, "fp").select("fp", F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
+def alike_pairs(pairs: DataFrame, docs: DataFrame, size: int, least: float, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (u, v) of text_keys whose texts' shingle sets have a Jaccard similarity of at least ``least``; the texts
+    without a pair move no further than one join."""
+    ends = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "own_key")
     texts = keyed_texts(docs, id_col, text_col).withColumn("own_key", F.xxhash64("text"))
-    held = written(texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("own_key") == F.col("one_key"))).select("fp", "text").dropDuplicates(["fp"]), "near-texts")
-    both = pairs.join(held.select(F.col("fp").alias("u"), F.col("text").alias("a")), "u").join(held.select(F.col("fp").alias("v"), F.col("text").alias("b")), "v")
+    held = written(texts.join(ends, "own_key").select("own_key", "text").dropDuplicates(["own_key"]), "near-texts")
+    both = pairs.join(held.select(F.col("own_key").alias("u"), F.col("text").alias("a")), "u").join(held.select(F.col("own_key").alias("v"), F.col("text").alias("b")), "v")
     return both.select("u", "v", "a", "b").mapInArrow(_alike(size, least), "u long, v long").distinct()
 
 
+def _ordered(u, v) -> list:
+    return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
+
+
+def alike_components(texts: DataFrame, shared: DataFrame, near: DataFrame, docs: DataFrame, size: int, least: float, id_col: str, text_col: str) -> DataFrame:
+    """node, root: the text_keys that verified links connect, and the smallest that each reaches.
+
+    ``texts`` has text_key, fp; ``shared`` bucket, value, text_key: all texts of a bucket are candidates of each other;
+    ``near`` u, v: all texts of two fingerprints are. First each text meets the smallest of its bucket alone. Then every
+    other candidate pair whose ends are still apart is verified too, so what is left out could not join anything, and
+    a large group of copies costs a row each and not its square.
+    """
+    firsts = written(shared.groupBy("bucket", "value").agg(F.min("text_key").alias("first"), F.max("text_key").alias("last")).where("first < last").drop("last"), "firsts")
+    heads = texts.groupBy("fp").agg(F.min("text_key").alias("first"))
+    star = shared.join(firsts, ["bucket", "value"]).where("text_key <> first").select(F.col("first").alias("u"), F.col("text_key").alias("v"))
+    across = near.join(heads.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(heads.select(F.col("fp").alias("v"), F.col("first").alias("b")), "v").select(*_ordered("a", "b"))
+    tried = written(star.union(across).distinct(), "near-pairs")
+    links = written(alike_pairs(tried, docs, size, least, id_col, text_col), "links")
+    reached = components(links).select(F.col("node").alias("text_key"), "root")
+    texts = written(texts.join(reached, "text_key", "left").withColumn("root", F.coalesce("root", "text_key")), "text-roots")
+    members = shared.join(firsts, ["bucket", "value"]).select("bucket", "value", "text_key").join(texts.select("text_key", "root"), "text_key")
+    members = written(members, "members")
+    split = members.groupBy("bucket", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket", "value")
+    apart = written(members.join(split, ["bucket", "value"]), "apart")
+    one, two = apart.alias("one"), apart.alias("two")
+    same = (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.value") == F.col("two.value"))
+    rest = one.join(two, same & (F.col("one.text_key") < F.col("two.text_key")) & (F.col("one.root") != F.col("two.root"))).select(F.col("one.text_key").alias("u"), F.col("two.text_key").alias("v"))
+    ends = [texts.select(F.col("fp").alias(x), F.col("text_key").alias(f"{x}_key"), F.col("root").alias(f"{x}_root")) for x in "uv"]
+    rest = rest.union(near.join(ends[0], "u").join(ends[1], "v").where("u_root <> v_root").select(*_ordered("u_key", "v_key")))
+    rest = written(rest.distinct().join(tried, ["u", "v"], "left_anti"), "near-pairs")
+    return components(links.union(alike_pairs(rest, docs, size, least, id_col, text_col)))
+
+
 def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, fp, component_id, root of every row: the smallest id that links of ``distance`` or fewer bits
     reach, and the smallest fingerprint there, which names the group.
 
     Texts are lower-cased in A-Z and cut into words at ASCII blanks; shingles of ``size`` words count as often as they
     occur; a text of fewer words is one shingle, a text of none (null, empty, blanks) has fingerprint 0 and is linked
-    like any other. With ``similarity`` a link must also hold between the shingle sets (Jaccard). Equal fingerprints meet in one row before the search, so copies cost one row however many there
-    are. A null id has its own rows in the result and never names a component unless all its ids are null.
+    like any other. Equal fingerprints meet in one row before the search, so copies cost one row however many there
+    are. With ``similarity`` only equal texts meet so: a link joins two texts, of equal or near fingerprints, whose
+    shingle sets (Jaccard) are that similar, and the smallest text_key names the group. A null id has its own rows in
+    the result and never names a component unless all its ids are null.
     """
+    if similarity is not None:
+        return _similar_dedup(docs, size, distance, similarity, id_col, text_col)
     table = written(fingerprints(docs, size, id_col, text_col), "fingerprints")
-    fps = written(table.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("one")), "distinct-fingerprints")
+    fps = written(table.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     pairs = near_pairs(fps, fps.count(), distance)
-    if similarity is not None:
-        pairs = alike_pairs(written(pairs, "near-pairs"), fps, docs, size, similarity, id_col, text_col)
-    linked = components(pairs).select(F.col("node").alias("fp"), "root")
-    named = linked.join(fps, "fp").groupBy("root").agg(F.min("least").alias("reached"))
-    far = linked.join(named, "root").select("fp", "reached", "root")
-    # written, so that both sides of the last join have an exchange of their own and a hot fingerprint can be split
-    classes = fps.join(far, "fp", "left").select("fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("reached")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return _named(table, fps, "fp", components(pairs))
+
+
+def _named(table: DataFrame, nodes: DataFrame, key: str, linked: DataFrame) -> DataFrame:
+    """Every row of ``table`` with the component of its ``key``."""
+    linked = linked.select(F.col("node").alias(key), "root")
+    named = linked.join(nodes, key).groupBy("root").agg(F.min("least").alias("reached"))
+    far = linked.join(named, "root").select(key, "reached", "root")
+    # written, so that both sides of the last join have an exchange of their own and a hot key can be split
+    classes = nodes.join(far, key, "left").select(key, F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("reached")).alias("component_id"), F.coalesce("root", key).alias("root"))
     classes = written(classes, "classes")
-    return table.join(classes, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
+    return table.join(classes, key).select("doc_id", "text_key", "fp", "component_id", "root")
+
+
+def _similar_dedup(docs: DataFrame, size: int, distance: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    table = written(fingerprints(docs, size, id_col, text_col), "fingerprints")
+    texts = written(table.groupBy("text_key").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")), "distinct-texts")
+    fps = written(texts.select("fp").distinct(), "distinct-fingerprints")
+    near = written(near_pairs(fps, fps.count(), distance), "near-fingerprints")
+    shared = texts.select(F.lit(-1).alias("bucket"), F.col("fp").alias("value"), "text_key")
+    linked = alike_components(texts.select("text_key", "fp"), shared, near, docs, size, similarity, id_col, text_col)
+    return _named(table, texts.select("text_key", "least"), "text_key", linked)
 
 
 def one_of_each(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

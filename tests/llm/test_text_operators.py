@@ -193,6 +193,28 @@ def test_one_of_each(spark):
     assert sorted(r.doc_id for r in got.collect()) == [3, 7, 9] and got.columns == df.columns
 
 
+def similar(a, b, size=5):
+    def shingles(t):
+        w = t.lower().split()
+        return {" ".join(w[k : k + size]) for k in range(max(len(w) - size + 1, 1))}
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+def kept_of(spark, texts):
+    df = frame(spark, texts, list(range(len(texts))))
+    return sorted(r.doc_id for r in simhash.one_of_each(df, simhash.near_dedup(df, size=5, distance=6, similarity=0.8)).collect())
+
+
+def test_equal_fingerprints_are_verified(spark):
+    laugh, own, other = "ha " * 60, [f"a{k}" for k in range(50)], [f"b{k}" for k in range(50)]
+    texts = [laugh + " ".join(x) for x in (own, other, [*other[:49], "c"], [*own[:49], "c"])]
+    assert len({simhash.fingerprint(t, 5) for t in texts}) == 1 and similar(texts[0], texts[1]) < 0.05
+    assert similar(texts[0], texts[3]) >= 0.8 and similar(texts[1], texts[2]) >= 0.8
+    assert kept_of(spark, texts) == [0, 1]
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + k, 1001 + k) for k in range(60)] + [(5, 5)]
