@@ -1,4 +1,5 @@
-"""SimHash near-duplicates by the generalised pigeonhole principle over correlated bit groups."""
+"""SimHash near-duplicates by the generalised pigeonhole principle over correlated bit groups; where links are verified,
+bands of seeded minima add the candidates that a fingerprint of 64 bits does not see."""
 
 from __future__ import annotations
 
@@ -20,17 +21,27 @@ WORDS_AT_ONCE = 1 << 16
 PROBE_COST, CANDIDATE_COST = 1.0, 0.2
 
 
-def bit_counts(words: list[bytes], size: int) -> tuple[np.ndarray, int]:
-    """In how many of the shingles' hashes each bit is set, and the number of shingles."""
+#: Bands of seeded minima, and the minima in one: of pairs of Jaccard similarity j, 1 - (1 - j**6)**24 share a band.
+BANDS, ROWS = 24, 6
+
+
+def hashes(words: list[bytes], size: int) -> Iterator[np.ndarray]:
+    """The hashes of the shingles, a bounded number at a time."""
     import xxhash
 
-    hashed = xxhash.xxh64_intdigest
-    counts, total = np.zeros(BITS, dtype=np.int64), max(len(words) - size + 1, 1)
+    hashed, total = xxhash.xxh64_intdigest, max(len(words) - size + 1, 1)
     for start in range(0, total, WORDS_AT_ONCE):
         part = words[start : start + WORDS_AT_ONCE + size - 1]
         shingles = map(b" ".join, zip(*(part[k:] for k in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
-        h = np.fromiter(map(hashed, shingles, repeat(42)), dtype=np.uint64)
+        yield np.fromiter(map(hashed, shingles, repeat(42)), dtype=np.uint64)
+
+
+def bit_counts(words: list[bytes], size: int) -> tuple[np.ndarray, int]:
+    """In how many of the shingles' hashes each bit is set, and the number of shingles."""
+    counts, total = np.zeros(BITS, dtype=np.int64), 0
+    for h in hashes(words, size):
         counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        total += len(h)
     return counts, total
 
 
@@ -43,6 +54,36 @@ def fingerprint(text: str, size: int = 3) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view(np.int64)[0])
 
 
+_seeds = np.random.default_rng(42).integers(0, 1 << 32, (2, BANDS * ROWS, 1), dtype=np.uint32) | np.array([[[1]], [[0]]], dtype=np.uint32)
+#: Shingles whose permutations are taken at a time, so that they stay in the cache.
+SHINGLES_AT_ONCE = 1 << 11
+
+
+def bands(text: str, size: int) -> np.ndarray:
+    """One signed 64-bit number a band: a hash of the least values its seeded permutations give the shingles' hashes."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, dtype=np.uint32)
+    for h in hashes(text.encode("utf-8", "surrogatepass").lower().split(), size):
+        low = h.astype(np.uint32)
+        for start in range(0, len(low), SHINGLES_AT_ONCE):
+            np.minimum(least, ((low[start : start + SHINGLES_AT_ONCE] ^ _seeds[1]) * _seeds[0]).min(1), out=least)
+    out = np.zeros(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        out = (out ^ row) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
+def _banded(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            texts = part.column("text").to_pylist()
+            values = pa.array(np.concatenate([bands(x, size) for x in texts]))
+            values = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), values)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array([fingerprint(x, size) for x in texts], pa.int64()), values], names=["doc_id", "text_key", "fp", "bands"])
+
+    return run
+
+
 def _fingerprints(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -269,8 +310,8 @@ def near_dedup(docs: DataFrame, size: int = 3, distance: int = 3, similarity: fl
     Texts are lower-cased in A-Z and cut into words at ASCII blanks; shingles of ``size`` words count as often as they
     occur; a text of fewer words is one shingle, a text of none (null, empty, blanks) has fingerprint 0 and is linked
     like any other. Equal fingerprints meet in one row before the search, so copies cost one row however many there
-    are. With ``similarity`` only equal texts meet so: a link joins two texts, of equal or near fingerprints, whose
-    shingle sets (Jaccard) are that similar, and the smallest text_key names the group. A null id has its own rows in
+    are. With ``similarity`` only equal texts meet so: a link joins two texts, of equal or near fingerprints or
+    of an equal band of seeded minima, whose shingle sets (Jaccard) are that similar, and the smallest text_key names the group. A null id has its own rows in
     the result and never names a component unless all its ids are null.
     """
     if similarity is not None:
@@ -293,11 +334,13 @@ def _named(table: DataFrame, nodes: DataFrame, key: str, linked: DataFrame) -> D
 
 
 def _similar_dedup(docs: DataFrame, size: int, distance: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    table = written(fingerprints(docs, size, id_col, text_col), "fingerprints")
+    keyed = keyed_texts(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    table = written(keyed.mapInArrow(_banded(size), "doc_id long, text_key long, fp long, bands array<long>"), "fingerprints")
     texts = written(table.groupBy("text_key").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")), "distinct-texts")
     fps = written(texts.select("fp").distinct(), "distinct-fingerprints")
     near = written(near_pairs(fps, fps.count(), distance), "near-fingerprints")
-    shared = texts.select(F.lit(-1).alias("bucket"), F.col("fp").alias("value"), "text_key")
+    banded = written(table.select("text_key", "bands").dropDuplicates(["text_key"]).select("text_key", F.posexplode("bands").alias("bucket", "value")), "bands")
+    shared = banded.select("bucket", "value", "text_key").union(texts.select(F.lit(-1).alias("bucket"), F.col("fp").alias("value"), "text_key"))
     linked = alike_components(texts.select("text_key", "fp"), shared, near, docs, size, similarity, id_col, text_col)
     return _named(table, texts.select("text_key", "least"), "text_key", linked)
 

@@ -32,7 +32,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the smallest id (five-word shingles, similarity of 0.8 or more
-    among the pairs whose fingerprints differ in at most six bits)."""
+    among the pairs whose fingerprints differ in at most six bits or that share a band of seeded minima)."""
     return one_of_each(docs, near_dedup(docs, size=5, distance=6, similarity=0.8))
 
 

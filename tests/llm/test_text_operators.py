@@ -215,6 +215,20 @@ def test_equal_fingerprints_are_verified(spark):
     assert kept_of(spark, texts) == [0, 1]
 
 
+def test_pairs_of_every_similarity_are_found(spark):
+    rng, texts = random.Random(8), []
+    for k in range(60):
+        words = [f"w{k}x{n}" for n in range(400)]
+        other = list(words)
+        for at in rng.sample(range(400), rng.randrange(2, 14)):
+            other[at] = f"o{k}x{at}"
+        texts += [" ".join(words), " ".join(other)]
+    want = sorted([k for k in range(0, 120, 2)] + [k + 1 for k in range(0, 120, 2) if similar(texts[k], texts[k + 1]) < 0.8])
+    far = [k for k in range(0, 120, 2) if similar(texts[k], texts[k + 1]) >= 0.8 and (simhash.fingerprint(texts[k], 5) ^ simhash.fingerprint(texts[k + 1], 5)).bit_count() > 6]
+    assert 60 < len(want) < 120 and len(far) > 5
+    assert kept_of(spark, texts) == want
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + k, 1001 + k) for k in range(60)] + [(5, 5)]
