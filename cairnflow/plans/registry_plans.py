@@ -240,17 +240,35 @@ def url_host(spark, sf_dir):
 
 @query("yanked_parse", """SELECT event_id, event_id % 4 IN (0, 2, 3) AS yanked, CASE event_id % 4 WHEN 0 THEN 'broken' END AS reason FROM events WHERE event_id < 40""")
 def yanked_parse(spark, sf_dir):
+    return _yanked(read(spark, sf_dir, "events").where("event_id < 40"))
+
+
+@query("yanked_parse_all", "SELECT event_id, event_id % 4 IN (0, 2, 3) AS yanked, CASE event_id % 4 WHEN 0 THEN 'broken' END AS reason FROM events")
+def yanked_parse_all(spark, sf_dir):
+    return _yanked(read(spark, sf_dir, "events"))
+
+
+def _yanked(events):
     raw = F.element_at(F.array(F.lit('"broken"'), F.lit("false"), F.lit("true"), F.lit('""')), (F.col("event_id") % 4 + 1).cast("int"))
-    return read(spark, sf_dir, "events").where("event_id < 40").select("event_id", S.yanked_flag(raw).alias("yanked"), S.yanked_reason(raw).alias("reason"))
+    return events.select("event_id", S.yanked_flag(raw).alias("yanked"), S.yanked_reason(raw).alias("reason"))
 
 
 @query("metadata_hash_resolve", "SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'c' || event_id WHEN 1 THEN 'd' || event_id WHEN 2 THEN '' WHEN 3 THEN 'd' || event_id END AS digest FROM events WHERE event_id < 50")
 def metadata_hash_resolve(spark, sf_dir):
+    return _metadata_hashes(read(spark, sf_dir, "events").where("event_id < 50"))
+
+
+@query("metadata_hash_resolve_all", "SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'c' || event_id WHEN 1 THEN 'd' || event_id WHEN 2 THEN '' WHEN 3 THEN 'd' || event_id END AS digest FROM events")
+def metadata_hash_resolve_all(spark, sf_dir):
+    return _metadata_hashes(read(spark, sf_dir, "events"))
+
+
+def _metadata_hashes(events):
     object_ = lambda p: F.concat(F.lit(f'{{"sha256": "{p}'), F.col("event_id").cast("string"), F.lit('"}'))
     k = F.col("event_id") % 5
     core = F.when(k == 0, object_("c")).when(k.isin(2, 3), "true").otherwise("false")
     dist = F.when(k.isin(0, 1, 3), object_("d")).otherwise("false")
-    return read(spark, sf_dir, "events").where("event_id < 50").select("event_id", S.metadata_digest(core, dist).alias("digest"))
+    return events.select("event_id", S.metadata_digest(core, dist).alias("digest"))
 
 
 @query("http_classify", "SELECT status, body, CASE WHEN status = 304 OR status BETWEEN 200 AND 299 THEN 'ok' WHEN status IN (404, 410) THEN 'not_found' WHEN status = 429 OR status = 403 AND body = 'Rate Limit hit' THEN 'rate_limited' WHEN status BETWEEN 500 AND 599 THEN 'transient' ELSE 'protocol' END AS class FROM (SELECT CAST(unnest([200, 204, 301, 304, 400, 403, 404, 410, 429, 500, 503]) AS INTEGER) AS status) CROSS JOIN (SELECT unnest(['', 'Rate Limit hit']) AS body)")
@@ -323,8 +341,25 @@ def index_page_parse(spark, sf_dir):
     return landed.index_rows(page).drop("error")
 
 
+@query("index_page_parse_all", "SELECT 'part-' || p_partkey AS name, p_partkey * 3 AS serial, CAST(9999 AS BIGINT) AS last_serial FROM part")
+def index_page_parse_all(spark, sf_dir):
+    """All parts, a thousand keys a page, so that no page grows with the table."""
+    p = read(spark, sf_dir, "part").select(F.expr("p_partkey div 1000").alias("page"), F.struct(F.concat(F.lit("Part_"), F.col("p_partkey").cast("string")).alias("name"), (F.col("p_partkey") * 3).alias("_last-serial")).alias("x"))
+    pages = p.groupBy("page").agg(F.to_json(F.struct(F.struct(F.lit(9999).alias("_last-serial")).alias("meta"), F.collect_list("x").alias("projects"))).alias("body"))
+    return landed.index_rows(pages.select("body")).drop("error")
+
+
 @query("bridge_lookup", "SELECT doc_id, CASE WHEN sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id < 300 AND doc_id % 6 NOT IN (0, 1)) THEN strlen(text) END AS n_bytes FROM documents WHERE doc_id < 300")
 def bridge_lookup(spark, sf_dir):
+    return _bridged(read(spark, sf_dir, "documents").where("doc_id < 300"))
+
+
+@query("bridge_lookup_all", "SELECT doc_id, CASE WHEN sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 6 NOT IN (0, 1)) THEN strlen(text) END AS n_bytes FROM documents")
+def bridge_lookup_all(spark, sf_dir):
+    return _bridged(read(spark, sf_dir, "documents"))
+
+
+def _bridged(documents):
     import zlib
 
     from pyspark.sql.functions import arrow_udf
@@ -336,9 +371,9 @@ def bridge_lookup(spark, sf_dir):
 
         return pa.array([zlib.compress(b) for b in x.to_pylist()], pa.binary())
 
-    d = read(spark, sf_dir, "documents").where("doc_id < 300").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.sha2("text", 256)).alias("k"), "text")
+    d = documents.select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.sha2("text", 256)).alias("k"), "text")
     body = F.when(F.col("doc_id") % 6 == 1, F.lit("other")).otherwise(F.col("text")).cast("binary")
-    old = d.where("doc_id % 6 <> 0").select(F.sha2(F.col("text"), 256).alias("sha256"), deflate(body).alias("z_body")).groupBy("sha256").agg(F.max_by("z_body", F.length("z_body")).alias("z_body"))
+    old = d.where("doc_id % 6 <> 0").select(F.sha2(F.col("text"), 256).alias("sha256"), (F.col("doc_id") % 6 != 1).alias("holds"), deflate(body).alias("z_body")).groupBy("sha256").agg(F.max_by("z_body", "holds").alias("z_body"))
     wanted = d.select(F.col("doc_id").alias("id"), F.sha2("text", 256).alias("sha256"))
     return corpus.bridge_lookup(wanted, old).select(F.col("id").alias("doc_id"), F.length("body").cast("long").alias("n_bytes"))
 
@@ -368,7 +403,15 @@ def record_fanout(spark, sf_dir):
 
 @query("resolution_dedup", "SELECT user_id, string_agg(event_type || '=' || first_id, ',' ORDER BY event_type) AS resolutions FROM (SELECT user_id, event_type, min(event_id) AS first_id FROM events WHERE user_id < 40 GROUP BY 1, 2) GROUP BY 1")
 def resolution_dedup(spark, sf_dir):
-    e = read(spark, sf_dir, "events").where("user_id < 40")
+    return _resolutions(read(spark, sf_dir, "events").where("user_id < 40"))
+
+
+@query("resolution_dedup_all", "SELECT user_id, string_agg(event_type || '=' || first_id, ',' ORDER BY event_type) AS resolutions FROM (SELECT user_id, event_type, min(event_id) AS first_id FROM events GROUP BY 1, 2) GROUP BY 1")
+def resolution_dedup_all(spark, sf_dir):
+    return _resolutions(read(spark, sf_dir, "events"))
+
+
+def _resolutions(e):
     lists = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", F.col("event_type").alias("source_name"), F.col("event_id").alias("target")))).alias("r"))
     first = convert.first_resolutions(F.col("r"))
     return lists.select("user_id", F.array_join(F.transform(first, lambda x: F.concat(x["source_name"], F.lit("="), x["target"].cast("string"))), ",").alias("resolutions"))

@@ -47,3 +47,12 @@ def test_plans_are_the_ones_wanted(spark, sf):
         assert "CartesianProduct" not in plan and "Python" not in plan, name
     census = plan_of(registry.QUERIES["pending_backlog"](spark, sf))
     assert "text" not in census.split("ReadSchema")[1]
+
+
+ALL_ROWS = {"bridge_lookup_all": ("documents", "doc_id"), "yanked_parse_all": ("events", "event_id"), "metadata_hash_resolve_all": ("events", "event_id"), "index_page_parse_all": ("part", "p_partkey"), "resolution_dedup_all": ("events", "user_id")}
+
+
+@pytest.mark.parametrize("name", sorted(ALL_ROWS))
+def test_every_key_has_a_row(spark, sf, duck, name):
+    table, key = ALL_ROWS[name]
+    assert registry.QUERIES[name](spark, sf).count() == duck.execute(f"SELECT count(DISTINCT {key}) FROM {table}").fetchone()[0]
