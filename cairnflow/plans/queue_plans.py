@@ -64,6 +64,11 @@ def state_census(spark, sf_dir):
     return health.state_census(artifacts(spark, sf_dir).where("project < 'src15'"))
 
 
+@query("state_census_all", f"WITH {ARTIFACTS_SQL}, s AS (SELECT * FROM (VALUES (0, 'NEED_METADATA'), (1, 'NO_METADATA'), (2, 'NEED_CONVERT'), (3, 'READY'), (4, 'SKIPPED'), (5, 'QUARANTINED'), (6, 'DELETED')) v(state, name)) SELECT s.state, s.name, count(a.id) AS n FROM s LEFT JOIN artifacts a ON a.state = s.state GROUP BY 1, 2")
+def state_census_all(spark, sf_dir):
+    return health.state_census(artifacts(spark, sf_dir))
+
+
 @query("pending_backlog", f"WITH {ARTIFACTS_SQL} SELECT count(*) AS backlog, count(DISTINCT project) AS projects_stale FROM artifacts WHERE state IN (0, 2, 5)")
 def pending_backlog(spark, sf_dir):
     return health.pending_backlog(artifacts(spark, sf_dir))
@@ -170,7 +175,15 @@ def reconcile_state(spark, sf_dir):
 
 @query("initial_state", "SELECT doc_id, CAST(CASE WHEN doc_id % 30 = 0 THEN 2 WHEN doc_id % 4 <> 0 THEN 0 ELSE 1 END AS INTEGER) AS state FROM documents WHERE doc_id % 10 = 0")
 def initial_state(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").where("doc_id % 10 = 0")
+    return _first_states(read(spark, sf_dir, "documents").where("doc_id % 10 = 0"))
+
+
+@query("initial_state_all", "SELECT doc_id, CAST(CASE WHEN doc_id % 30 = 0 THEN 2 WHEN doc_id % 4 <> 0 THEN 0 ELSE 1 END AS INTEGER) AS state FROM documents")
+def initial_state_all(spark, sf_dir):
+    return _first_states(read(spark, sf_dir, "documents"))
+
+
+def _first_states(d):
     return d.select("doc_id", S.first_state(F.col("doc_id") % 4 != 0, F.when(F.col("doc_id") % 30 == 0, "u")).cast("int").alias("state"))
 
 
@@ -183,7 +196,15 @@ def apply_plan_sequence(spark, sf_dir):
 
 @query("project_gone", f"WITH {ARTIFACTS_SQL} SELECT id, CAST(CASE WHEN project = 'src3' THEN 6 ELSE state END AS INTEGER) AS state FROM artifacts WHERE project IN ('src3', 'src4')")
 def project_gone(spark, sf_dir):
-    a = artifacts(spark, sf_dir).where("project in ('src3', 'src4')")
+    return _without_project(artifacts(spark, sf_dir).where("project in ('src3', 'src4')"))
+
+
+@query("project_gone_all", f"WITH {ARTIFACTS_SQL} SELECT id, CAST(CASE WHEN project = 'src3' THEN 6 ELSE state END AS INTEGER) AS state FROM artifacts")
+def project_gone_all(spark, sf_dir):
+    return _without_project(artifacts(spark, sf_dir))
+
+
+def _without_project(a):
     return a.select("id", F.when(F.col("project") == "src3", 6).otherwise(F.col("state")).cast("int").alias("state"))
 
 

@@ -197,7 +197,16 @@ def reindex_from_footer(spark, sf_dir):
 
 @query("blob_read", "WITH w AS (SELECT sha256(text) AS sha256 FROM documents WHERE doc_id % 7 = 2 UNION SELECT sha256('absent')) SELECT w.sha256, CASE WHEN w.sha256 = sha256('absent') THEN 'archive_blob_missing' ELSE 'ok' END AS outcome FROM w")
 def blob_read(spark, sf_dir):
-    wanted = read(spark, sf_dir, "documents").where("doc_id % 7 = 2").select(F.sha2("text", 256).alias("sha256")).union(spark.range(1).select(F.sha2(F.lit("absent"), 256)))
+    return _blob_outcomes(spark, sf_dir, read(spark, sf_dir, "documents").where("doc_id % 7 = 2"))
+
+
+@query("blob_read_all", "WITH w AS (SELECT sha256(text) AS sha256 FROM documents UNION SELECT sha256('absent')) SELECT w.sha256, CASE WHEN w.sha256 = sha256('absent') THEN 'archive_blob_missing' ELSE 'ok' END AS outcome FROM w")
+def blob_read_all(spark, sf_dir):
+    return _blob_outcomes(spark, sf_dir, read(spark, sf_dir, "documents"))
+
+
+def _blob_outcomes(spark, sf_dir, documents):
+    wanted = documents.select(F.sha2("text", 256).alias("sha256")).union(spark.range(1).select(F.sha2(F.lit("absent"), 256)))
     return archive.read_blobs(_built(spark, sf_dir), wanted).select("sha256", "outcome")
 
 

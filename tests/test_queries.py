@@ -56,3 +56,10 @@ ALL_ROWS = {"bridge_lookup_all": ("documents", "doc_id"), "yanked_parse_all": ("
 def test_every_key_has_a_row(spark, sf, duck, name):
     table, key = ALL_ROWS[name]
     assert registry.QUERIES[name](spark, sf).count() == duck.execute(f"SELECT count(DISTINCT {key}) FROM {table}").fetchone()[0]
+
+
+def test_all_artifacts_are_counted_and_read(spark, sf, duck):
+    n, texts = duck.execute("SELECT count(*), count(DISTINCT text) FROM documents").fetchone()
+    assert sum(r.n for r in registry.QUERIES["state_census_all"](spark, sf).collect()) == n
+    assert registry.QUERIES["initial_state_all"](spark, sf).count() == registry.QUERIES["project_gone_all"](spark, sf).count() == n
+    assert registry.QUERIES["blob_read_all"](spark, sf).count() == texts + 1
