@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,12 +34,16 @@ NAME_WORDS = {
 NAME_OTHER = {"length", "len", "size", "count", "max", "min", "limit", "id", "type", "name", "file", "path", "url", "uri", "hint", "expiry", "expires", "ttl", "public", "field", "label", "policy", "version", "tokenizer", "tokens"}
 PLACEHOLDER = re.compile(r"(?i)^(?:changeme|change_me|example|sample|dummy|test|none|null|nil|true|false|undefined|todo|redacted|x{3,}|\*+|\.+|-+|your[_-].*|<.*>|\$\{.*\}|\$\w+|%\w+%|\{\{.*\}\})$")
 
+# A quote after a backslash opens nothing: an opening that fails then has none behind it on its line, and lexing stays linear.
 LEXEME = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<name>[A-Za-z_$@][\w$]*(?:[.-][A-Za-z_][\w$]*)*)|(?P<join>(?:\+|\.\.)(?=["'`\s]))|(?P<bare>[A-Za-z0-9+/_~!@#$%^&*?.-]+)|(?P<give>:=|=>|[=:])|(?P<end>[\n;,{}()\[\]<>])|(?P<other>[^\s])""",
+    r"""(?P<string>\"\"\"[\s\S]*?\"\"\"|\'\'\'[\s\S]*?\'\'\'|(?<!\\)"(?:[^"\\\n]|\\.)*"|(?<!\\)'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<name>[A-Za-z_$@][\w$]*(?:[.-][A-Za-z_][\w$]*)*)|(?P<join>(?:\+|\.\.)(?=["'`\s]))|(?P<bare>[A-Za-z0-9+/_~!@#$%^&*?.-]+)|(?P<give>:=|=>|[=:])|(?P<line>\n)|(?P<more>\\(?=\n))|(?P<close>[\])])|(?P<open>\()|(?P<end>[;,{}\[<>])|(?P<other>[^\s])""",
     re.ASCII,
 )
 GIVES = re.compile(r"[^\n]*[:=][^\n]*")
 RUN = re.compile(r"[^\s,;\"'`<>(){}\[\]]+")
+#: A type between a name's colon and its sign, and the head of a block scalar.
+TYPE = re.compile(r"[\x20\t]*[A-Za-z_][\w.]*(?:\[(?:[^\[\]\n=]|\[[^\[\]\n=]*\])*\])?(?:[\x20\t]*\|[\x20\t]*[A-Za-z_][\w.]*)*[\x20\t]*=(?![=>])", re.ASCII)
+BLOCK = re.compile(r"[\x20\t]*[|>][+-]?[0-9]?[\x20\t]*\n")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -60,76 +65,217 @@ def name_weight(name: str) -> float:
     return min(1.0, sum(NAME_WORDS.get(w, 0.0) for w in {*words, *joined}))
 
 
-def literal_strength(text: str) -> float:
-    """How much a literal looks like key material, from 0 to 1: its length, its entropy and its kinds of characters."""
-    if len(text) < 6 or PLACEHOLDER.match(text) or any(c.isspace() for c in text):
+#: Characters of a folded literal's two ends that are kept as they are; the rest is known by its counts.
+ENDS = 32
+
+
+class Literal:
+    """A folded literal: a span of the text, or literals joined in order. Nothing is copied when one is folded into
+    another, so that constants built from constants stay as small as the text that says so."""
+
+    __slots__ = ("known", "parts", "span", "told")
+
+    def __init__(self, span: tuple[int, int] | None = None, parts: tuple[Literal, ...] = ()):
+        self.span, self.parts, self.known, self.told = span, parts, None, False
+
+    def summary(self, text: str) -> tuple[int, Counter, str, str]:
+        """(length, count of each character, first and last ENDS characters), from the parts' own; no recursion."""
+        todo = [self]
+        while todo:
+            node = todo[-1]
+            if node.known is None and node.span:
+                own = text[node.span[0] : node.span[1]]
+                node.known = len(own), Counter(own), own[:ENDS], own[-ENDS:]
+            if node.known is None:
+                open_parts = [x for x in node.parts if x.known is None]
+                todo += open_parts
+                if not open_parts:
+                    size, counts, first, last = 0, Counter(), "", ""
+                    for n, c, head, tail in (x.known for x in node.parts):
+                        size, first, last = size + n, (first + head)[:ENDS] if len(first) == size else first, (last + tail)[-ENDS:]
+                        counts += c
+                    node.known = size, counts, first, last
+            else:
+                todo.pop()
+        return self.known
+
+    def spans(self) -> Iterator[tuple[int, int]]:
+        """The spans it is made of, each part of the text's literals once however often it is asked for."""
+        todo = [self]
+        while todo:
+            node = todo.pop()
+            if not node.told:
+                node.told = True
+                todo += node.parts
+                if node.span and node.span[0] < node.span[1]:
+                    yield node.span
+
+
+def strength(size: int, counts: Counter, first: str, last: str) -> float:
+    """How much a literal looks like key material, from 0 to 1: its length, its entropy and its kinds of characters.
+
+    A placeholder is told by its ends and by which characters are between them."""
+    if size < 6 or any(map(str.isspace, counts)):
+        return 0.0
+    if size <= ENDS:
+        shape = first
+    else:
+        last = last[max(0, 2 * ENDS - size) :]
+        shape = first + "".join(sorted(counts - Counter(first + last))) + last
+    if PLACEHOLDER.match(shape):
         return 0.0
-    n = len(text)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(text).values())
-    kinds = sum(any(f(c) for c in text) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return min(1.0, 0.3 * min(1, n / 16) + 0.4 * min(1, entropy / 3.5) + 0.1 * kinds)
+    entropy = -sum(c / size * math.log2(c / size) for c in counts.values())
+    kinds = sum(any(map(f, counts)) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+    return min(1.0, 0.3 * min(1, size / 16) + 0.4 * min(1, entropy / 3.5) + 0.1 * kinds)
+
+
+def literal_strength(text: str) -> float:
+    return strength(len(text), Counter(text), text[:ENDS], text[-ENDS:])
+
+
+class Lexed:
+    """The lexemes of a text from a place on, read as they are asked for: (kind, word, start, end); None at the end."""
 
+    def __init__(self, text: str, start: int):
+        self.read, self.held = LEXEME.finditer(text, start), []
 
-Part = tuple[str, list[tuple[int, int]]]
+    def __call__(self, k: int) -> tuple[str, str, int, int] | None:
+        while len(self.held) <= k:
+            m = next(self.read, None)
+            self.held.append(m and (m.lastgroup, m.group(), m.start(), m.end()))
+            if m is None:
+                break
+        return self.held[k] if k < len(self.held) else None
 
+    def kind(self, k: int) -> str:
+        found = self(k)
+        return found[0] if found else ""
 
-def pairs(text: str) -> Iterator[tuple[str, Part]]:
-    """(target name, (folded literal, spans of its pieces)) of each assignment in the lines that have one.
+    def after(self, k: int, place: int) -> int:
+        """The first lexeme from ``k`` on that starts at ``place`` or behind it."""
+        while (found := self(k)) and found[2] < place:
+            k += 1
+        return k
 
-    The lexer knows strings, names, bare words, the assigning signs = : := => and joins; a name before a sign is a
-    target, a quoted key is one too. Literals that are joined fold into one; a name on the right stands for the
-    literal that was last assigned to it (constants are propagated through any number of names).
+
+def _quoted(lexeme: tuple[str, str, int, int]) -> Literal:
+    n = 3 if lexeme[1][:3] in ('"""', "'''") and len(lexeme[1]) >= 6 else 1
+    return Literal((lexeme[2] + n, lexeme[3] - n))
+
+
+def _target(lexed: Lexed, k: int) -> int | None:
+    """The place of the sign if a target stands at ``k``: a name, a quoted key, or a quoted key in brackets."""
+    if lexed.kind(k) not in ("name", "string"):
+        return None
+    k += 1 + (lexed.kind(k) == "string" and lexed.kind(k + 1) == "close")
+    return k if lexed.kind(k) == "give" else None
+
+
+def _block(text: str, line: int, start: int) -> tuple[list[Literal], int]:
+    """(the lines of a block scalar, one literal each; where it ends): lines that are indented further than its key's."""
+    own = len(text[line:start]) - len(text[line:start].lstrip(" \t-"))
+    out = []
+    while start < len(text):
+        end = text.find("\n", start)
+        end = len(text) if end < 0 else end
+        row = text[start:end]
+        bare = row.strip()
+        if bare and len(row) - len(row.lstrip()) <= own:
+            break
+        if bare:
+            at = start + row.index(bare)
+            out.append(Literal((at, at + len(bare))))
+        start = end + 1
+    return out, min(start, len(text))
+
+
+def _value(text: str, lexed: Lexed, k: int, known: dict[str, Literal]) -> tuple[Literal | None, int]:
+    """(the folded literal that starts at ``k``, the lexeme behind it).
+
+    It may start on the next line; inside brackets, behind a join and behind a closing backslash it goes on over line
+    ends. Strings side by side fold too."""
+    depth, parts, joined = 0, [], True
+    while lexed.kind(k) == "line":
+        k += 1
+    while True:
+        found = lexed(k)
+        kind = found[0] if found else ""
+        if kind == "open" and not parts:
+            depth, k = depth + 1, k + 1
+        elif kind == "line" and (depth or joined and parts) or kind == "more":
+            k += 1 + (kind == "more" and lexed.kind(k + 1) == "line")
+        elif kind == "string" and (joined or parts) and _target(lexed, k) is None:
+            parts.append(_quoted(found))
+            joined, k = False, k + 1
+        elif kind == "name" and joined and found[1] in known and _target(lexed, k) is None:
+            parts.append(known[found[1]])
+            joined, k = False, k + 1
+        elif kind == "join" and parts and not joined:
+            joined, k = True, k + 1
+        elif kind in ("name", "bare", "other", "join") and not parts and not depth and _target(lexed, k) is None:
+            run = RUN.match(text, found[2])
+            if run is None:
+                return None, k
+            return Literal(run.span()), lexed.after(k, run.end())
+        else:
+            break
+    if not parts:
+        return None, k
+    return parts[0] if len(parts) == 1 else Literal(parts=tuple(parts)), k
+
+
+def pairs(text: str) -> Iterator[tuple[str, Literal]]:
+    """(target name, folded literal) of each assignment.
+
+    The lexer reads from each line that has a sign: strings (also of three quotes), names, bare words, the assigning
+    signs = : := => and joins. A name before a sign is a target, also with a type between; a quoted key is one too,
+    also in brackets. Literals that are joined fold into one; a name on the right stands for the literal that was last
+    assigned to it (constants are propagated through any number of names). Each line of a block scalar is a literal.
+    A value that goes on over line ends is read once.
     """
-    known: dict[str, Part] = {}
-    for line in GIVES.finditer(text):
-        lexed = [(m.lastgroup, m.group(), line.start() + m.start(), line.start() + m.end()) for m in LEXEME.finditer(line.group())]
-        k, n = 0, len(lexed)
-        while k + 1 < n:
-            kind, word, _, _ = lexed[k]
-            if kind not in ("name", "string") or lexed[k + 1][0] != "give":
+    known: dict[str, Literal] = {}
+    at = 0
+    while line := GIVES.search(text, at):
+        lexed, k, at = Lexed(text, max(at, line.start())), 0, line.end()
+        while (found := lexed(k)) and found[2] < at:
+            sign = _target(lexed, k)
+            if sign is None:
                 k += 1
                 continue
-            target = word.strip("\"'`")
-            k += 2
-            value, spans, joined = "", [], True
-            while k < n and joined:
-                kind, word, start, end = lexed[k]
-                if kind == "string":
-                    value, spans, k = value + word[1:-1], [*spans, (start + 1, end - 1)], k + 1
-                elif kind == "name" and word in known and (k + 1 >= n or lexed[k + 1][0] != "give"):
-                    value, spans, k = value + known[word][0], [*spans, *known[word][1]], k + 1
-                elif kind in ("name", "bare", "other") and not spans:
-                    run = RUN.match(text, start)
-                    if run is None:
-                        break
-                    value, spans = run.group(), [(start, run.end())]
-                    while k < n and lexed[k][2] < run.end():
-                        k += 1
-                else:
-                    break
-                joined = k < n and lexed[k][0] == "join"
-                k += joined
-            if spans:
-                known[target] = value, spans
-                yield target, known[target]
+            target, place = found[1].strip("\"'`"), lexed(sign)[3]
+            if lexed(sign)[1] == ":" and (block := BLOCK.match(text, place)):
+                literals, at = _block(text, line.start(), block.end())
+                for literal in literals:
+                    yield target, literal
+                break
+            if lexed(sign)[1] == ":" and found[0] == "name" and (typed := TYPE.match(text, place)):
+                literal, k = _value(text, lexed, lexed.after(sign + 1, typed.end()), known)
+            else:
+                literal, k = _value(text, lexed, sign + 1, known)
+            if literal:
+                at = max(at, lexed(k - 1)[3])
+                known[target] = literal
+                yield target, literal
 
 
 def lexed_spans(text: str, least: float = 0.6) -> list[tuple[str, int, int]]:
     """Spans of the literals whose target's weight times their own strength is at least ``least``."""
-    out: set[tuple[str, int, int]] = set()
+    out: list[tuple[str, int, int]] = []
     weights: dict[str, float] = {}
-    for target, (value, spans) in pairs(text):
-        weight = weights.setdefault(target, name_weight(target))
-        if weight >= least and weight * literal_strength(value) >= least:
-            out |= {("literal", a, b) for a, b in spans if b > a}
-    return list(out)
+    for target, literal in pairs(text):
+        weight = weights[target] if target in weights else weights.setdefault(target, name_weight(target))
+        if weight >= least and weight * strength(*literal.summary(text)) >= least:
+            out += [("literal", a, b) for a, b in literal.spans()]
+    return out
 
 
 def secret_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(base spans, all spans), by start, then kind. A lexed literal inside a base span adds nothing and is left out."""
     order = {k: n for n, k in enumerate(KINDS)}
     base = sorted(base_spans(text), key=lambda x: (x[1], order[x[0]]))
-    more = [x for x in lexed_spans(text) if not any(a <= x[1] and x[2] <= b for _, a, b in base)] if ":" in text or "=" in text else []
+    more = lexed_spans(text) if ":" in text or "=" in text else []
+    starts, ends = [a for _, a, _ in base], list(accumulate((b for _, _, b in base), max))
+    more = [x for x in more if not (n := bisect_right(starts, x[1])) or ends[n - 1] < x[2]]
     return base, sorted(base + more, key=lambda x: (x[1], order[x[0]], x[2]))
 
 
@@ -166,7 +312,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every row; offsets are code points, ends exclusive.
 
-    Map only, whole texts, a null text counts as empty (no spans, the digest of nothing). Each row stands by itself.
+    Map only, whole texts, a null text counts as empty (no spans, the digest of nothing). Each row stands by itself, so
+    rows that repeat, or have no id, get a row each; a very long text costs time and memory in proportion to its length.
+    Only the id and the text are read, whatever other columns there are.
     """
     return keyed_texts(docs, id_col, text_col).mapInArrow(_scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
