@@ -98,12 +98,14 @@ FROM exploded e LEFT JOIN frequent f ON e.k = f.k GROUP BY e.row_no
 ORACLE_SQL["op3_pivot_search"] = """
 WITH vectors AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), queries AS (
+  SELECT DISTINCT vec_id, v FROM vectors WHERE vec_id % 50 = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(generate_series(1, len(q.v)), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+  SELECT q.vec_id AS query_id, q.v, c.vec_id, coalesce(CAST(list_sum(list_transform(generate_series(1, len(q.v)), lambda i: q.v[i] * c.v[i])) AS BIGINT), 0) AS score
+  FROM queries q JOIN vectors c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
 ), ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, v ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
 )
 SELECT * FROM ranked WHERE rank <= 5
 """

@@ -14,7 +14,7 @@ ROWS = "vec_id long, embedding array<float>, label int, v string, d int, dim int
 
 
 def brute_top(rows, every, k, scale):
-    vectors = [(i, [math.floor(scale * float(np.float32(x))) for x in e]) for i, e in rows if i is not None and e and all(x is not None and math.isfinite(x) for x in e)]
+    vectors = [(i, [math.floor(scale * float(np.float32(x))) for x in e]) for i, e in rows if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
     out = set()
     for q, x in {(i, tuple(v)) for i, v in vectors if i % every == 0}:
         scored = sorted((-sum(a * b for a, b in zip(x, v, strict=True)), i) for i, v in vectors if i != q and len(v) == len(x))
@@ -34,6 +34,34 @@ def test_pivot_search(spark):
     assert [tuple(r) for r in pivot_search.pivot_top_k(two).collect()] == [(0, 1, 7, 256 * 512)]
 
 
+def test_pivot_search_of_odd_vectors(spark):
+    rows = [(100, [3e12, 1.0]), (0, [1.0, 2.0]), (0, [1.0, 2.0]), (0, [2.0, 1.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (3, [-1.0, 0.5]), (50, []), (4, []), (5, []), (200, [1e30, 1e30]), (6, [2e30, -1e30]), (7, [1.5e30, 1e30]), (7, [-0.0, 0.0])]
+    got = sorted(tuple(r) for r in pivot_search.pivot_top_k(spark.createDataFrame([(i, e, 0, "x", 1, 2, 3) for i, e in rows], ROWS), every=50, k=4).select("query_id", "rank", "vec_id", "score").collect())
+    want = []
+    vectors = [(i, tuple(int(math.floor(256.0 * float(np.float32(x)))) for x in e)) for i, e in rows]
+    for q, x in {(i, v) for i, v in vectors if i % 50 == 0}:
+        scored = sorted((-sum(a * b for a, b in zip(x, v, strict=True)), i) for i, v in vectors if i != q and len(v) == len(x))
+        want += [(q, n + 1, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(scored[:4])]
+    assert got == sorted(want)
+
+
+def test_lots_that_cannot_matter_are_not_visited(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 40, (6, 8))
+    rows = [(i, (centres[i % 6] + rng.normal(0, 0.2, 8)).tolist()) for i in range(1200)]
+    frame = spark.createDataFrame([(i, e, 0, "x", 1, 2, 3) for i, e in rows], ROWS)
+    got = {tuple(r) for r in pivot_search.pivot_top_k(frame, every=50, k=5, pivots=6, lot_bytes=1).select("query_id", "rank", "vec_id", "score").collect()}
+    assert got == brute_top(rows, 50, 5, 256.0)
+    import pandas as pd
+
+    x = np.array([e for _, e in rows])
+    d = pivot_search._distances(x, centres)
+    lots = pd.DataFrame([{"lo": d[i::6].min(0), "hi": d[i::6].max(0), "norm": float((x[i::6] ** 2).sum(1).max()), "lot": i} for i in range(6)])
+    score = np.sort(x[::6] @ x[0])[-6]
+    asked = pd.DataFrame([{"vec_id": 0, "k1": 0, "k2": 0, "v": x[0], "d": d[0], "seen": 0, "floor": float(score)}])
+    assert len(pivot_search._survivors(asked, lots)) < 5
+
+
 def test_elimination_leaves_candidates_out():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.integers(-5, 5, (2000, 16)), rng.integers(200, 260, (50, 16))])
