@@ -11,16 +11,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnflow.llm.common import keyed_texts, slices, written
+from cairnflow.llm.completion import pack_histogram
 
-#: Other orders of completing bins that the branch and bound may try after the best-fit descent, and pieces that share a rank bucket.
-DESCENTS, BUCKET_ROWS, LEAST_BUCKETS = 12, 1_000_000, 256
+#: Pieces that share a rank bucket, and the least number of buckets.
+BUCKET_ROWS, LEAST_BUCKETS = 1_000_000, 256
 
 
 class Ids:
-    """Token ids of a vocabulary file of the tokenizers library, added tokens being ordinary text.
+    """Token ids of a vocabulary file of the tokenizers library, no special tokens added.
 
     The file's merges are in the order of their results' ids, which makes its encoding that of a rank table; the
-    faster rank encoder is used then. Any other file, and any text that encoder refuses, goes to the library itself.
+    faster rank encoder is used then. Any other file, any text that holds the content of an added token, which the
+    library reads as that token, and any text that encoder refuses, goes to the library itself.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -30,12 +32,11 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
         vocab, merges = model["model"]["vocab"], model["model"]["merges"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
-        added = {t["content"] for t in model.get("added_tokens", [])}
+        self.added = added = {t["content"] for t in model.get("added_tokens", [])}
         plain = list(range(33, 127)) + list(range(161, 173)) + list(range(174, 256))
         unicode_of = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in set(plain))}
         byte_of = {c: b for b, c in unicode_of.items()}
@@ -46,7 +47,7 @@ class Ids:
             self.fast = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.fast is not None:
+        if self.fast is not None and not any(t in text for t in self.added):
             try:
                 return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
             except BaseException as e:  # the encoder's panics are no Exception
@@ -93,137 +94,6 @@ def _pieces(path: str, pattern: str, size: int, end_id: int, with_ids: bool):
     return run
 
 
-class Bins:
-    """Counts of the sizes still to pack and the search for what completes a bin."""
-
-    def __init__(self, counts: np.ndarray, capacity: int):
-        self.counts, self.capacity = counts.copy(), capacity
-        self._index()
-
-    def _index(self) -> None:
-        """fits[v]: the largest size present that is at most v (0: none)."""
-        present = np.where(self.counts > 0, np.arange(len(self.counts)), 0)
-        self.fits = np.maximum.accumulate(present)
-
-    def take(self, filling: list[int]) -> int:
-        """Pack the filling as often as the counts allow."""
-        sizes, need = np.unique(filling, return_counts=True)
-        times = int((self.counts[sizes] // need).min())
-        self.counts[sizes] -= times * need
-        if (self.counts[sizes] == 0).any():
-            self._index()
-        return times
-
-    def completions(self, largest: int, most: int) -> list[list[int]]:
-        """Undominated sets that fill what ``largest`` leaves free, fullest first.
-
-        One size that fits best dominates every set of no greater sum; of sets with equal sum the one of fewer, larger
-        sizes comes first. A set that fills the bin ends the enumeration, as no other can be better.
-        """
-        self.counts[largest] -= 1
-        if self.counts[largest] == 0:
-            self._index()
-        free, found = self.capacity - largest, []
-        one = int(self.fits[free]) if free > 0 else 0
-        found.append([one] if one else [])
-        if 0 < one < free:
-            found += [x for x in self._pairs(free, most) if sum(x) > one]
-            if not any(sum(x) == free for x in found):
-                best = max(map(sum, found))
-                found += [x for x in self._triples(free) if sum(x) > best]
-        found = [self._extended(x, free) for x in found]
-        self.counts[largest] += 1
-        if self.counts[largest] == 1:
-            self._index()
-        return sorted(found, key=lambda x: (-sum(x), len(x), [-s for s in x]))[:most]
-
-    def _second(self, a: np.ndarray, free: int) -> np.ndarray:
-        """For each first size the largest second size that still fits and is there once more."""
-        b = self.fits[np.maximum(free - a, 0)]
-        twice = (b == a) & (self.counts[a] < 2)
-        return np.where(twice, self.fits[np.maximum(b - 1, 0)], b)
-
-    def _pairs(self, free: int, most: int) -> list[list[int]]:
-        a = np.flatnonzero(self.counts[: free + 1] > 0)
-        a = a[a > 0]
-        b = self._second(a, free)
-        ok = (b > 0) & (b <= a)
-        order = np.lexsort((-a[ok], -(a + b)[ok]))[:most]
-        return [[int(x), int(y)] for x, y in zip(a[ok][order], b[ok][order], strict=True)]
-
-    def _triples(self, free: int) -> list[list[int]]:
-        best: list[int] = []
-        for a in np.flatnonzero(self.counts[: free + 1] > 0)[::-1].tolist():
-            if a == 0 or 3 * a <= sum(best):
-                break
-            self.counts[a] -= 1
-            gone = self.counts[a] == 0
-            if gone:
-                self._index()
-            for rest in self._pairs(free - a, 1) if free > a else []:
-                if a + sum(rest) > sum(best):
-                    best = [a, *rest]
-            self.counts[a] += 1
-            if gone:
-                self._index()
-            if sum(best) == free:
-                break
-        return [best] if best else []
-
-    def _extended(self, chosen: list[int], free: int) -> list[int]:
-        """The set with the largest sizes that still fit beside it."""
-        used, out = dict.fromkeys(chosen, 0), list(chosen)
-        for x in chosen:
-            used[x] += 1
-        left = free - sum(chosen)
-        size = int(self.fits[left]) if left > 0 else 0
-        while size:
-            n = min(left // size, int(self.counts[size]) - used.get(size, 0))
-            out += [size] * n
-            used[size] = used.get(size, 0) + n
-            left -= n * size
-            size = int(self.fits[min(left, size - 1)]) if left > 0 else 0
-        return out
-
-
-def _descend(counts: np.ndarray, capacity: int, most_bins: int, turn: int) -> list[tuple[int, list[int]]] | None:
-    """(times, sizes) patterns; at step ``turn`` the second best completion is taken. None: pruned by the waste bound."""
-    bins, out, used = Bins(counts, capacity), [], 0
-    left, step = int((counts * np.arange(len(counts))).sum()), 0
-    while left:
-        largest = int(bins.fits[-1])
-        ranked = bins.completions(largest, 4)
-        filling = [largest, *ranked[1 if step == turn and len(ranked) > 1 else 0]]
-        times = bins.take(filling)
-        out.append((times, filling))
-        used += times
-        left -= times * sum(filling)
-        if used + -(-left // capacity) >= most_bins:
-            return None
-        step += 1
-    return out
-
-
-def pack_histogram(counts: np.ndarray, capacity: int, descents: int = DESCENTS) -> list[tuple[int, list[int]]]:
-    """Patterns (times, sizes) that pack counts[s] items of each size s into few bins.
-
-    Bin completion: the largest size left opens a bin and the undominated sets that complete it are its branches. The
-    best-fit descent is the first incumbent; further descents take another branch at one step, are pruned when their
-    waste can no longer beat the incumbent, and replace it when they need fewer bins. The volume bound ends the search.
-    A pattern is applied as often as the counts allow, so the work depends on the number of sizes, not of items.
-    """
-    bound = -(-int((counts * np.arange(len(counts))).sum()) // capacity)
-    best = _descend(counts, capacity, 1 << 62, -1) or []
-    for turn in range(descents):
-        need = sum(t for t, _ in best)
-        if need <= bound:
-            break
-        # late steps first: the leftovers are where bins are lost
-        step = max(0, len(best) - 1 - turn * max(1, len(best) // max(1, descents)))
-        best = _descend(counts, capacity, need, step) or best
-    return best
-
-
 def slots(patterns: list[tuple[int, list[int]]]) -> dict[int, list[tuple[int, int, int, int, int]]]:
     """size -> (first rank, items per bin, times, first bin, offset) intervals, in the order of ranks."""
     out: dict[int, list[tuple[int, int, int, int, int]]] = {}
@@ -268,7 +138,7 @@ def pack(docs: DataFrame, path: str, pattern: str, size: int = 1024, end_id: int
     driver; the patterns found there are dealt to the pieces by their rank among those of equal length. Ranks are
     counted inside buckets of bounded size and shifted by the counts of the buckets before, so a length that a third of
     all pieces share is no single group. Pieces are written to the shared folder once. Rows that repeat an id, or have
-    none, are documents each.
+    none, are documents each. No documents give no rows. Other columns than the id and the text are not read.
     """
     kind = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     pieces = written(keyed_texts(docs, id_col, text_col).mapInArrow(_pieces(path, pattern, size, end_id, with_ids), kind), "pieces")

@@ -5,6 +5,7 @@ import random
 import re
 import struct
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -12,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from cairnflow.llm import bpe, exact_dedup, langid, line_dedup, packing, pii, secrets, simhash, toxicity
+from cairnflow.llm import bpe, completion, exact_dedup, langid, line_dedup, packing, pii, secrets, simhash, toxicity
 from cairnflow.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, fp long, h1 long, kept string, digest string, length int, spans string, root long"
@@ -347,7 +348,6 @@ def check_packing(rows, texts, size):
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(VOCABULARY)
-    lib.encode_special_tokens = True
     want = Counter()
     for i, t in texts:
         ids = [*lib.encode(t, add_special_tokens=False).ids, 2]
@@ -368,19 +368,42 @@ def check_packing(rows, texts, size):
     return len(bins)
 
 
+def best_fit_decreasing(items, capacity):
+    bins = []
+    for x in sorted(items, reverse=True):
+        at = bisect_left(bins, x)
+        insort(bins, (bins.pop(at) if at < len(bins) else capacity) - x)
+    return len(bins)
+
+
+def test_text_of_an_added_token_is_that_token(spark):
+    df = frame(spark, ["a <|endoftext|> b", "plain <|endoftext", "<|endoftext|>" * 3])
+    check_packing(packing.pack(df, VOCABULARY, public_tokenizers.PATTERN, size=16).collect(), pairs_of(df), 16)
+
+
+@pytest.mark.parametrize(("table", "column"), [("sf0.01", "n_chars"), ("sf0.1", "n_chars")])
+def test_packing_is_never_worse_than_best_fit_decreasing(spark, table, column):
+    sizes = [r[0] % 1024 or 1024 for r in spark.read.parquet(f"/root/testdata/{table}/documents.parquet").select(column).collect()]
+    counts = np.bincount(sizes, minlength=1025)
+    patterns = packing.pack_histogram(counts, 1024)
+    assert Counter(s for t, x in patterns for s in x for _ in range(t)) == Counter(sizes) and all(sum(x) <= 1024 for _, x in patterns)
+    fewest = best_fit_decreasing(sizes, 1024)
+    assert completion.least_bins(counts, 1024) <= sum(t for t, _ in patterns) <= fewest == sum(t for t, _ in completion.best_fit_decreasing(counts, 1024))
+
+
 @pytest.mark.parametrize("size", [1024, 64])
 def test_packing(sample, edge, none, size):
     for df in (sample, edge):
         rows = packing.pack(df, VOCABULARY, public_tokenizers.PATTERN, size=size).collect()
         bins = check_packing(rows, pairs_of(df), size)
-        assert bins <= -(-sum(r.length for r in rows) // size) * 1.06 + 1
+        assert bins <= best_fit_decreasing([r.length for r in rows], size)
     assert packing.pack(none, VOCABULARY, public_tokenizers.PATTERN).count() == 0
 
 
 def test_bin_completion_is_optimal_where_it_can_be_told():
     rng = np.random.default_rng(2)
     for _ in range(60):
-        items, capacity = rng.integers(1, 21, rng.integers(1, 9)), 20
+        items, capacity = rng.integers(1, 21, rng.integers(1, 11)), 20
 
         def best(left, bins, most):
             if not left:
@@ -397,7 +420,8 @@ def test_bin_completion_is_optimal_where_it_can_be_told():
         patterns = packing.pack_histogram(np.bincount(items, minlength=capacity + 1), capacity)
         assert Counter(s for t, x in patterns for s in x for _ in range(t)) == Counter(items.tolist())
         assert all(sum(x) <= capacity for _, x in patterns)
-        assert sum(t for t, _ in patterns) <= best(sorted(items.tolist(), reverse=True), (), len(items)) + 1
+        fewest = best(sorted(items.tolist(), reverse=True), (), len(items))
+        assert sum(t for t, _ in patterns) == fewest and completion.least_bins(np.bincount(items, minlength=capacity + 1), capacity) <= fewest
     assert sum(t for t, _ in packing.pack_histogram(np.bincount([6] * 10**6 + [4] * 10**6, minlength=11), 10)) == 10**6
 
 
