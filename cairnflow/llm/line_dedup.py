@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnflow.llm.common import forget, keyed_texts, text_or_empty, written
+from cairnflow.llm.common import forget, free_name, keyed_texts, text_or_empty, written
 
 #: The characters stripped from both ends of a line: space and \t \n \v \f \r.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -70,38 +70,50 @@ class LineRuns:
         return counts.where(F.col("n") >= self.min_docs).select(*HASH)
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 2) -> DataFrame:
-    """All columns of ``docs``, the text without its frequent lines, and ``_ld_n_lines`` and ``_ld_n_dropped``.
+def line_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 2, counts: bool = False
+) -> DataFrame:
+    """All columns of ``docs``, the text without its frequent lines; with ``counts`` also n_lines and n_dropped (a column
+    of ``docs`` that has such a name already gives way).
 
     A text is split at \\n; null or empty is one empty line (and comes out as '').
     A key of at least ``min_chars`` code points that is found in at least ``min_docs`` rows loses all its lines
     everywhere; the other lines stay in order, joined by \\n. Each input row is a document of its own, also where an
-    id repeats or is null. ``batches`` deals the rows by a hash of their id into the batches that LineRuns takes.
-    Key hashes are counted once a row (array_distinct), so no line has to be shuffled to count documents. The join of
-    a line that a third of all documents hold is split by adaptive execution; no step gathers a key's rows.
+    id repeats or is null. ``batches`` deals the rows by a hash of id and text into the batches that LineRuns takes.
+
+    The lines of a row are sorted by their hashes, so that the first of equal keys is known without a shuffle, and
+    only firsts are counted. A frequent line comes back to its row as a place in the text: rows are told apart by id
+    and a 128-bit hash of the text (rows that share both lose the same places), and the places that stay are the
+    difference of two sets of numbers, so a row costs its number of lines, however many of them are dropped. The join
+    of a line that a third of all documents hold is split by adaptive execution; no step gathers a key's rows.
     """
     spark = docs.sparkSession
-    exploded = docs.select(
-        F.col(id_col).cast("long").alias("id"),
-        F.explode(F.array_distinct(F.filter(F.transform(F.split(text_or_empty(text_col), "\n"), line_key), lambda x: F.char_length(x) >= min_chars))).alias("_key"),
-    ).select("id", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch"), key_hash(F.col("_key")).alias("_h"))
-    lines = written(exploded.select("id", "_h.h1", "_h.h2", "batch"), "line-keys", ["batch"])
+    row = [F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)).alias("t1"), F.xxhash64(F.lit("text"), text_or_empty(text_col)).alias("t2")]
+    hashed = F.transform(F.split(text_or_empty(text_col), "\n"), lambda x, n: F.struct(key_hash(line_key(x)).alias("h"), n.alias("place"), (F.char_length(line_key(x)) >= min_chars).alias("counts")))
+    sorted_lines = docs.select(*row, F.array_sort(F.filter(hashed, lambda x: x["counts"])).alias("lines"))
+    marked = F.transform("lines", lambda x, n: F.struct(x["h"]["h1"].alias("h1"), x["h"]["h2"].alias("h2"), x["place"].alias("place"), ((n == 0) | (F.get(F.col("lines"), n - 1)["h"] != x["h"])).alias("first")))
+    exploded = sorted_lines.select("id", "t1", "t2", F.explode(marked).alias("x")).select("id", "t1", "t2", "x.*", F.pmod(F.xxhash64("id", "t1"), F.lit(batches)).cast("int").alias("batch"))
+    lines = written(exploded, "line-keys", ["batch"])
     runs = LineRuns(spark, min_docs, fanout)
     for batch in range(batches):
-        runs.add(lines.where(F.col("batch") == batch).select(*HASH))
-    hits = lines.select("id", *HASH).join(runs.frequent(), HASH).groupBy("id").agg(F.collect_set(F.struct(*HASH)).alias("_ld_drop")).withColumnRenamed("id", "_ld_id")
-    split = F.split(text_or_empty(text_col), "\n")
-    joined = docs.join(hits, F.col(id_col).cast("long").eqNullSafe(F.col("_ld_id")), "left").withColumn("_ld_lines", split)
-    kept = F.when(F.col("_ld_drop").isNull(), F.col("_ld_lines")).otherwise(F.filter("_ld_lines", lambda x: ~F.array_contains(F.col("_ld_drop"), key_hash(line_key(x)))))
-    return joined.withColumn("_ld_kept", kept).select(
-        *[F.array_join("_ld_kept", "\n").alias(text_col) if c == text_col else F.col(c) for c in docs.columns],
-        F.size("_ld_lines").cast("long").alias("_ld_n_lines"),
-        (F.size("_ld_lines") - F.size("_ld_kept")).cast("long").alias("_ld_n_dropped"),
-    )
+        runs.add(lines.where((F.col("batch") == batch) & F.col("first")).select(*HASH))
+    hits = lines.select("id", "t1", "t2", "place", *HASH).join(runs.frequent(), HASH).groupBy("id", "t1", "t2").agg(F.collect_set("place").alias("places"))
+    names = {x: free_name(docs, f"_{x}") for x in ("id", "t1", "t2", "places", "lines", "kept")}
+    hits = hits.select(*[F.col(c).alias(names[c]) for c in hits.columns])
+    same = row[0].eqNullSafe(F.col(names["id"])) & (row[1] == F.col(names["t1"])) & (row[2] == F.col(names["t2"]))
+    joined = docs.join(hits, same, "left").withColumn(names["lines"], F.split(text_or_empty(text_col), "\n"))
+    own, places = F.col(names["lines"]), F.col(names["places"])
+    # numbers have a hash set: the difference takes the time of both sides, and keeps the order of the first
+    stay = F.when(places.isNotNull(), F.array_except(F.sequence(F.lit(0), F.size(own) - 1), places))
+    joined = joined.withColumn(names["kept"], stay)
+    kept = F.col(names["kept"])
+    text = F.when(kept.isNull(), F.array_join(own, "\n")).otherwise(F.array_join(F.transform(kept, lambda n: F.get(own, n)), "\n"))
+    columns = [text.alias(text_col) if c == text_col else F.col(c) for c in docs.columns if not (counts and c in ("n_lines", "n_dropped"))]
+    if counts:
+        columns += [F.size(own).cast("long").alias("n_lines"), F.coalesce(F.size(own) - F.size(kept), F.lit(0)).cast("long").alias("n_dropped")]
+    return joined.select(*columns)
 
 
 def line_dedup_digest(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256 of each row, from ``line_dedup``."""
-    return line_dedup(keyed_texts(docs), **options).select(
-        "doc_id", F.col("_ld_n_lines").alias("n_lines"), F.col("_ld_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256")
-    )
+    return line_dedup(keyed_texts(docs), counts=True, **options).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

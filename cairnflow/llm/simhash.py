@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnflow.llm.common import keyed_texts, slices, text_or_empty, written
+from cairnflow.llm.common import free_name, keyed_texts, slices, text_or_empty, written
 from cairnflow.llm.components import components
 
 BITS = 64
@@ -348,11 +348,12 @@ def _similar_dedup(docs: DataFrame, size: int, distance: int, similarity: float,
 def one_of_each(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of ``near_dedup`` the row of the smallest id (no id comes last), of
     rows that share it the one of the smallest text_key, of rows that repeat both one. All columns as they were."""
+    own, kept_id, kept_key = (free_name(docs, x) for x in ("_own", "_kept_id", "_kept_key"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    stays = classes.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_sh_id"), F.col("k.text_key").alias("_sh_key")).distinct()
-    keyed = docs.withColumn("_sh_own", F.xxhash64(text_or_empty(text_col)))
-    kept = keyed.join(stays, F.col(id_col).cast("long").eqNullSafe(F.col("_sh_id")) & (F.col("_sh_own") == F.col("_sh_key")), "left_semi")
-    return kept.dropDuplicates([id_col, "_sh_own"]).drop("_sh_own")
+    stays = classes.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias(kept_id), F.col("k.text_key").alias(kept_key)).distinct()
+    keyed = docs.withColumn(own, F.xxhash64(text_or_empty(text_col)))
+    kept = keyed.join(stays, F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_key)), "left_semi")
+    return kept.dropDuplicates([id_col, own]).drop(own)
 
 
 def near_dedup_digest(docs: DataFrame, **options) -> DataFrame:
