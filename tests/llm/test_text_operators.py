@@ -289,10 +289,50 @@ def test_language_id(sample, edge, none):
     assert {r.lang_pred for r in langid.language_id(edge, PIECES).collect()} == {"und"}
     assert langid.language_id(none, PIECES).count() == 0
     kept = langid.known_language(labelled, PIECES)
-    assert kept.columns == edge.columns and kept.count() == edge.count() - 4
+    assert kept.columns == edge.columns and not {r.doc_id for r in kept.collect()} & {0, 1, 2, 3}
     assert langid.known_language(edge, PIECES).count() == edge.count() - 4
 
 
+def test_long_pieces_and_long_words_are_counted_whole():
+    rng = random.Random(4)
+    pieces = sorted({"▁", "a", "b", "▁a", *("".join(rng.choice("ab") for _ in range(n)) for n in range(2, 15) for _ in range(3))})
+    p = np.array([rng.random() for _ in pieces])
+    p /= p.sum()
+    model, chance = langid.Pieces(pieces), dict(zip(pieces, p.tolist(), strict=True))
+    assert model.longest == 14
+    words = ["".join(rng.choice("abc") for _ in range(n)) for n in (1, 5, 13, 20, 40, 90, 700)]
+    want = Counter()
+    totals = []
+    for w in words:
+        text = "▁" + w
+        step = lambda a, b: max(chance.get(text[a:b], 0.0), langid.UNCOVERED if b - a == 1 else 0.0)  # noqa: B023, E731
+        ahead, back = [1.0] + [0.0] * len(text), [0.0] * len(text) + [1.0]
+        scale = 4.0  # keeps the plain sums inside doubles
+        for b in range(1, len(text) + 1):
+            ahead[b] = sum(ahead[a] * step(a, b) * scale ** (b - a) for a in range(max(0, b - 14), b))
+        for a in range(len(text) - 1, -1, -1):
+            back[a] = sum(back[b] * step(a, b) * scale ** (b - a) for b in range(a + 1, min(len(text), a + 14) + 1))
+        totals.append(np.log(ahead[-1]) - len(text) * np.log(scale))
+        for a in range(len(text)):
+            for b in range(a + 1, min(len(text), a + 14) + 1):
+                if text[a:b] in chance:
+                    want[text[a:b]] += 2.0 * ahead[a] * step(a, b) * scale ** (b - a) * back[b] / ahead[-1]
+    assert np.allclose(model.forward(np.append(p, 0.0)[:, None], words)[:, 0], totals)
+    got = model.expect(p, words, np.full(len(words), 2.0))
+    assert np.allclose(got, [want[x] for x in pieces], rtol=1e-5, atol=1e-9)
+
+
+def test_texts_that_no_language_explains_go(spark, sample):
+    rng = random.Random(1)
+    junk = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(30)) for _ in range(5)]
+    df = sample.select("doc_id", "text", "lang").union(spark.createDataFrame([(-1 - n, t, None) for n, t in enumerate([*junk, "xqzv kjwq zzxv qqkj", "12 !"])], "doc_id long, text string, lang string"))
+    kept = {r.doc_id for r in langid.known_language(df, PIECES).collect()}
+    assert min(kept) >= 0 and len(kept) >= 0.99 * sample.count()  # each of these holds a letter, but the last
+    english = {r.doc_id for r in langid.known_language(df, PIECES, languages=["en"]).collect()}
+    truth = {r.doc_id for r in sample.where("lang = 'en'").collect()}
+    assert len(english & truth) >= 0.97 * len(truth) and len(english - truth) <= 0.02 * len(truth)
+
+
 def test_labels_of_the_held_out_fold_are_not_read(sample):
     wrong = sample.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, "zz").otherwise(F.col("lang")))
     assert "zz" not in {r.lang_pred for r in langid.language_id(wrong, PIECES).collect()}
