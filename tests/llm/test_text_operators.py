@@ -580,11 +580,54 @@ def test_personal_data(sample, edge, none):
             assert set(pii.joined(base).split(",") if base else []) <= set(r.spans.split(",") if r.spans else [])
             hit += len(base)
         assert hit
-    texts = [t for t in (x for _, x in pairs_of(sample)) if pii.TRIGGER.search(t) and len(t) < 20_000]
-    model = pii.fit(texts)
-    found = pii.decoded(model, ["call (302) 555-8032 now", "write to joe.12@mail.example.com today"])
-    spans = [pii.reconciled(t, [], f, 0.5) for t, f in zip(["call (302) 555-8032 now", "write to joe.12@mail.example.com today"], found, strict=True)]
-    assert any(k == "email" for k, _, _ in spans[1])
+
+
+@pytest.fixture(scope="module")
+def personal_model(sample):
+    return pii.fit([t for _, t in pairs_of(sample) if pii.TRIGGER.search(t) and len(t) < 20_000])
+
+
+def test_the_network_finds_what_no_pattern_has(personal_model):
+    """Held-out recall of spans beyond the patterns: this fails if the network is left out."""
+    data = pii.invented(200, seed=99)
+    beyond, hit, wrong = 0, 0, 0
+    for (text, spans), found in zip(data, pii.decoded(personal_model, [t for t, _ in data]), strict=True):
+        base = set(pii.base_spans(text))
+        added = set(pii.reconciled(text, sorted(base), found)) - base
+        beyond += len(set(spans) - base)
+        hit += len(set(spans) & added)
+        wrong += len(added - set(spans))
+    assert beyond > 150 and hit >= 0.85 * beyond and wrong <= 0.05 * beyond
+
+
+def test_the_network_leaves_clean_texts_alone(sample, personal_model):
+    texts = [t for _, t in pairs_of(sample)]
+    added = sum(len(pii.reconciled(t, pii.base_spans(t), f)) - len(pii.base_spans(t)) for t, f in zip(texts, pii.decoded(personal_model, texts), strict=True))
+    assert added <= 0.01 * len(texts)
+
+
+def test_spans_of_any_length_are_stitched(monkeypatch):
+    """A tagger that marks every x as personal: its spans come out whole, however many windows they run through."""
+    text = "1 " + "x" * 300 + " ab 2 " + "x" * 40 + " " + "x" * 5 + "9"
+    monkeypatch.setattr(pii, "emissions", lambda model, x, size: ((x == pii.classes_of("x")[0]).astype(np.float32), None))
+    monkeypatch.setattr(pii, "marginals", lambda model, em, size: (np.ones((*em.shape, len(pii.TAGS))), None, None))
+
+    def marked(model, em, size):
+        starts = em.copy()
+        starts[:, 1:] = em[:, 1:] * (1 - em[:, :-1])
+        starts[:, 0] = 0
+        return np.where(starts > 0, 1, np.where(em > 0, 2, 0))
+
+    monkeypatch.setattr(pii, "viterbi", marked)
+    want = [("email", m.start(), m.end()) for m in re.finditer("x+", text)]
+    assert [x[1:] for x in pii.decoded({}, [text])[0]] == want
+
+
+def test_parts_of_an_address_are_checked():
+    assert pii.whole("ip", "10.0.0.30") and pii.whole("ip", "10[.]0[.]0[.]3") and not pii.whole("ip", "10.0.0.300")
+    many = [(0.95, "phone", 16 * n, 16 * n + 12) for n in range(20_000)]
+    text = "302-555-8032    " * 20_000
+    assert len(pii.reconciled(text, [], many)) == 20_000
 
 
 def test_windows_cover_every_region():
