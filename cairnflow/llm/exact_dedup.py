@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnflow.llm.common import keyed_texts
+from cairnflow.llm.common import keyed_texts, written
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
@@ -24,7 +24,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = {"smallest": F.min, "largest": F.max}[keep]
     texts = keyed_texts(docs, id_col, text_col).withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
     rows = texts.select("doc_id", "digest", F.unhex(F.sha2("text", 256)).alias("sha"))
-    several = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    # written, so that its size is known before the texts are planned: where it is small they stay in their tasks
+    several = written(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "repeated-digests")
     groups = (
         texts.join(several, "digest")
         .groupBy("digest", "text")
