@@ -36,8 +36,9 @@ WITH RECURSIVE bpe(live, w, pos, tok) AS (
 SELECT w, list(tok ORDER BY pos) AS toks FROM bpe WHERE NOT live GROUP BY w ORDER BY w
 """
 
-# The same for long words: every occurrence of the least rank is contracted, from the left where occurrences overlap.
-# A pair's merge can only bring forth pairs of higher rank, so the fixpoint is that of one contraction at a time.
+# The same for long words: every occurrence of the least rank is contracted, from the left where occurrences overlap,
+# if its token takes part in merges of higher rank alone; then no lesser pair can come between two occurrences. Where it
+# can ("alone"), only the leftmost one is contracted. The fixpoint is that of one contraction at a time.
 ENCODE_LONG = """
 WITH RECURSIVE bpe(round, w, pos, tok) AS (
   SELECT 0, w, pos, tok FROM start
@@ -48,18 +49,18 @@ WITH RECURSIVE bpe(round, w, pos, tok) AS (
     SELECT w, pos, npos, best FROM (
       SELECT *, row_number() OVER (PARTITION BY w, idx - nth ORDER BY idx) % 2 AS odd FROM (
         SELECT *, row_number() OVER (PARTITION BY w ORDER BY idx) AS nth FROM (
-          SELECT p.w, p.pos, p.npos, p.idx, g.m, min(g.m) OVER (PARTITION BY p.w) AS best, p.tok = p.nxt AS twin
+          SELECT p.w, p.pos, p.npos, p.idx, g.m, g.alone, min(g.m) OVER (PARTITION BY p.w) AS best, p.tok = p.nxt AS twin
           FROM (SELECT w, pos, tok, lead(tok) OVER o AS nxt, lead(pos) OVER o AS npos, row_number() OVER o AS idx FROM bpe WINDOW o AS (PARTITION BY w ORDER BY pos)) p
           JOIN merges g ON g.l = p.tok AND g.r = p.nxt) WHERE m = best))
-    WHERE odd = 1 OR NOT twin) c ON c.w = s.w AND c.pos = s.pos
+    WHERE (odd = 1 OR NOT twin) AND (NOT alone OR nth = 1)) c ON c.w = s.w AND c.pos = s.pos
   WHERE s.round < {rounds} AND NOT EXISTS (SELECT 1 FROM (
     SELECT w, npos FROM (
       SELECT *, row_number() OVER (PARTITION BY w, idx - nth ORDER BY idx) % 2 AS odd FROM (
         SELECT *, row_number() OVER (PARTITION BY w ORDER BY idx) AS nth FROM (
-          SELECT p.w, p.npos, p.idx, g.m, min(g.m) OVER (PARTITION BY p.w) AS best, p.tok = p.nxt AS twin
+          SELECT p.w, p.npos, p.idx, g.m, g.alone, min(g.m) OVER (PARTITION BY p.w) AS best, p.tok = p.nxt AS twin
           FROM (SELECT w, pos, tok, lead(tok) OVER o AS nxt, lead(pos) OVER o AS npos, row_number() OVER o AS idx FROM bpe WINDOW o AS (PARTITION BY w ORDER BY pos)) p
           JOIN merges g ON g.l = p.tok AND g.r = p.nxt) WHERE m = best))
-    WHERE odd = 1 OR NOT twin) d WHERE d.w = s.w AND d.npos = s.pos))
+    WHERE (odd = 1 OR NOT twin) AND (NOT alone OR nth = 1)) d WHERE d.w = s.w AND d.npos = s.pos))
 SELECT w, pos, tok, round FROM (SELECT *, max(round) OVER (PARTITION BY w) AS last FROM bpe) WHERE round = last ORDER BY w, pos
 """
 
@@ -78,8 +79,11 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         triples = [(self.ranks[t[:k]], self.ranks[t[k:]], i) for t, i in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
+        # tokens that can take part in a merge of lower rank than their own: making one can bring forth a lesser pair
+        early = {x for a, b, m in triples for x in (a, b) if x > m}
+        triples = [(a, b, m, m in early) for a, b, m in triples]
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        self.con.register("merges_in", pa.table(dict(zip(("l", "r", "m"), (pa.array(x, pa.int32()) for x in zip(*triples, strict=True)), strict=True))))
+        self.con.register("merges_in", pa.table(dict(zip(("l", "r", "m", "alone"), (pa.array(x, kind) for x, kind in zip(zip(*triples, strict=True), [pa.int32()] * 3 + [pa.bool_()], strict=True)), strict=True))))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
         self.con.register("vocab_in", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
         self.con.execute("CREATE TABLE vocab AS SELECT * FROM vocab_in")
@@ -222,7 +226,9 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     the worker become token-position rows of a DuckDB table; a recursive query joins them with the merge table and
     contracts each word's leftmost pair of least rank until no word has one. The ids are decoded by an ordered
     aggregation over the vocabulary, a list for each distinct word, and joined in the order of the words. No shuffle;
-    memory is bound by the step, the cache and the longest text. Null texts count as empty and have no ids.
+    memory is bound by the step, the cache and the longest text. Null texts count as empty and have no ids; rows that
+    repeat, or have no id, are rows each; other columns are not read. Words of LONG bytes and more contract every
+    occurrence of their least pair in a round where that leads to the same fixpoint.
     """
     return keyed_texts(docs, id_col, text_col).mapInArrow(_round_trip(ranks_path, pattern, True), "doc_id long, n_tokens long, ids_sha256 string, ids array<int>, decoded string")
 

@@ -370,6 +370,21 @@ def test_bpe_equals_the_library(spark, sample, edge, none, reference_encoder):
     assert back[8] == TEXTS[8] and back[0] == ""
 
 
+def test_a_lesser_pair_that_comes_between_is_taken_first(tmp_path):
+    """A vocabulary in which a merge brings forth a pair of lower rank: ab (300) and a (97) make aba (290)."""
+    import base64
+
+    import tiktoken
+
+    ranks = {bytes([n]): n for n in range(256)} | {b"aba": 290, b"ab": 300, b"abab": 310}
+    (tmp_path / "ranks").write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % n for t, n in ranks.items()))
+    codec, library = bpe.Codec(str(tmp_path / "ranks"), r"\S+|\s+"), tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(2)
+    for word in ["ab" * 200, "abab" * 99 + "a", *("".join(rng.choice("aab") for _ in range(300)) for _ in range(6))]:
+        flat, _ = codec.encode_words([word.encode()])
+        assert flat.tolist() == library.encode_ordinary(word)
+
+
 def test_bpe_short_and_long_forms_agree(reference_encoder):
     c = bpe.codec(RANKS, public_tokenizers.PATTERN)
     for w in (b"aaaaaaaaaaaaaaaaaaaaa", "ééééééé日".encode(), b"thethethetheth", bytes(range(33, 127))):
