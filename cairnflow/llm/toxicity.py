@@ -19,8 +19,9 @@ from cairnflow.llm.common import keyed_texts, remainder, slices
 ORDERS, GAPS, DECAY = (3, 4), 2, 0.6
 #: Labelled rows of each class that are learned from, how long such a row may be, landmarks, and rounds of relabelling.
 TRAIN_ROWS, TRAIN_CHARS, LANDMARKS, ROUNDS = 1200, 20_000, 160, 4
-#: Distinct words of the training rows that the kernel sees at most, by their number of rows.
-TRAIN_WORDS, CACHED = 40_000, 400_000
+#: Distinct words of clean training rows that the kernel sees at most, by their number of rows, beside all words that
+#: evidence speaks against; most associated words from which landmarks are chosen; words a worker remembers.
+TRAIN_WORDS, POOL, CACHED = 40_000, 8 * LANDMARKS, 400_000
 PENALTY, STEMS, START = 10.0, (5, 6), 31
 
 #: Letters of a spelled-out word ("i d i o t"): three or more single characters with single blanks between.
@@ -218,13 +219,16 @@ def fit(texts: list[str], labels: list[int]) -> Machine | None:
         seen[label].update({w for words in s for w in words})
     total = max(1, labels.count(0)), max(1, labels.count(1))
     count = seen[0] + seen[1]
-    words = [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))][:TRAIN_WORDS]
+    words = [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))]
     toxic, clean = (np.array([seen[k][w] for w in words], dtype=np.float64) for k in (1, 0))
     evidence, level = stem_evidence(words, seen, split, labels)
     suspect = (toxic / total[1] > 10 * clean / total[0]) & (evidence > 0)
+    # every suspect word stays, however rare; of the others the commonest
+    use = np.sort(np.concatenate([np.flatnonzero(suspect), np.flatnonzero(~suspect)[:TRAIN_WORDS]]))
+    words, toxic, clean, evidence, suspect = [words[k] for k in use], toxic[use], clean[use], evidence[use], suspect[use]
     order = sorted(np.flatnonzero(suspect).tolist(), key=lambda k: (-evidence[k], words[k]))
     worst = [words[k] for k in order if evidence[k] >= level] or [words[k] for k in order[:20]]
-    marks = _spread(worst[: 8 * LANDMARKS], LANDMARKS // 2) + [w for k, w in enumerate(words) if evidence[k] == 0][: LANDMARKS // 2]
+    marks = _spread(worst[:POOL], LANDMARKS // 2) + [w for k, w in enumerate(words) if evidence[k] == 0][: LANDMARKS // 2]
     if not worst:
         return None
     lm = Landmarks(marks)
@@ -361,15 +365,12 @@ def training_rows(texts: DataFrame, labels: DataFrame, label_col: str, folds: in
     several labels counts as toxic if one says so; null ids and labels are left out."""
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     marked = marked.where(remainder("doc_id", folds) != held_out).groupBy("doc_id").agg(F.max("y").alias("y"))
-    counts = {r.y: r.n for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(0)
-    for y, n in counts.items():
-        share = F.when(F.col("y") == y, F.lit(int(min(1.0, TRAIN_ROWS / n) * (1 << 30)))).otherwise(share)
-    chosen = marked.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) <= share).limit(4 * TRAIN_ROWS)
-    # at most 4 * TRAIN_ROWS ids: a proven bound for the broadcast
-    rows = texts.where(F.char_length("text") <= TRAIN_CHARS).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").limit(8 * TRAIN_ROWS).collect()
-    rows = sorted({(r.doc_id, r.text, r.y) for r in rows})
-    kept = [r for y in (0, 1) for r in [r for r in rows if r[2] == y][:TRAIN_ROWS]]
+    # ordered by a hash, so the same rows are learned from in every run; at most 2 * TRAIN_ROWS ids, a proven bound for the broadcast
+    chosen = [marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", F.lit("toxicity")), "doc_id").limit(TRAIN_ROWS) for y in (0, 1)]
+    rows = texts.where(F.char_length("text") <= TRAIN_CHARS).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("doc_id", "text", "y")
+    # an id may have several rows: of all of them as many as of ids, by a hash of the text
+    out = [r for y in (0, 1) for r in rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(TRAIN_ROWS).collect()]
+    kept = sorted({(r.doc_id, r.text, r.y) for r in out})
     return [r[1] for r in kept], [r[2] for r in kept]
 
 
@@ -379,7 +380,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_co
     The machine reads every word of every text; a sentence is as toxic as its worst word and a text as its worst
     sentence. Skipped and inserted characters cost a factor each, signs that look like letters count as these, and a
     spelled-out word is read as one. Empty and null texts have the score of no word. Where labels of one class are
-    missing nothing can be learned and every score is 0. Map only; each row stands by itself.
+    missing nothing can be learned and every score is 0. Map only; each row stands by itself, also where an id repeats
+    or is missing (it deals no fold then); a very long text costs time in proportion to its length; other columns are
+    not read. Labels are learned from texts of at most TRAIN_CHARS characters, at most TRAIN_ROWS of each class.
     """
     texts = keyed_texts(docs, id_col, text_col)
     machine = fit(*training_rows(texts, labels, label_col, folds, held_out))
