@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnflow.llm.common import written
+from cairnflow.llm.common import forget, only_results_stay, written
 from cairnflow.llm.langid import known_language
 from cairnflow.llm.line_dedup import line_dedup
 from cairnflow.llm.packing import pack
@@ -21,7 +21,8 @@ def _as_documents(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told; null texts and texts without a letter go."""
+    """Documents that one of the learned languages explains better than letters drawn alone do; the others go, and so
+    do null texts and texts without a letter."""
     return known_language(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
@@ -53,8 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each but the last written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages over ``documents``, each but the last written to the shared folder and read again; what a stage wrote
+    beside its result, and the result of the stage before, are deleted once the next one is there."""
+    docs = before = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with only_results_stay(spark) as kept:
+            docs = written(stage(spark, docs, sf_dir), name)
+            kept.append(docs)
+        forget(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
