@@ -21,6 +21,9 @@ WORDS_AT_ONCE = 1 << 16
 PROBE_COST, CANDIDATE_COST = 1.0, 0.2
 
 
+#: Shingles whose sets a task keeps while it verifies pairs.
+HELD = 1_000_000
+
 #: Bands of seeded minima, and the minima in one: of pairs of Jaccard similarity j, 1 - (1 - j**6)**24 share a band.
 BANDS, ROWS = 24, 6
 
@@ -246,13 +249,20 @@ def _alike(size: int, least: float):
         return set(map(b" ".join, zip(*(words[k:] for k in range(size)), strict=False))) if len(words) >= size else {b" ".join(words)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the sets of texts that many pairs share, as many as HELD shingles
+        known: dict[int, set[bytes]] = {}
+        held = 0
         for batch in batches:
             for part in slices(slices([batch], "a"), "b"):
-                last, own, kept = None, set(), []
-                for a, b in zip(part.column("a").to_pylist(), part.column("b").to_pylist(), strict=True):
-                    if a != last:
-                        last, own = a, shingles(a)
-                    other = shingles(b)
+                kept = []
+                for u, v, a, b in zip(*(part.column(c).to_pylist() for c in ("u", "v", "a", "b")), strict=True):
+                    if held > HELD:
+                        known, held = {}, 0
+                    for key, text in ((u, a), (v, b)):
+                        if key not in known:
+                            known[key] = shingles(text)
+                            held += len(known[key])
+                    own, other = known[u], known[v]
                     both = len(own & other)
                     kept.append(both >= least * (len(own) + len(other) - both))
                 yield part.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
