@@ -65,7 +65,8 @@ def retry_after_seconds(value: Column, now: Column) -> Column:
     """Seconds from a number or an HTTP date, never negative; null where it is neither."""
     number = value.try_cast("double")
     date = F.try_to_timestamp(F.regexp_replace(F.regexp_replace(value, "^[A-Za-z]{3}, ", ""), " GMT$", ""), F.lit("dd MMM yyyy HH:mm:ss"))
-    return F.greatest(F.lit(0.0), F.coalesce(number, (F.unix_micros(date) - F.unix_micros(now)) / 1e6))
+    seconds = F.coalesce(number, (F.unix_micros(date) - F.unix_micros(now)) / 1e6)
+    return F.when(seconds.isNotNull(), F.greatest(F.lit(0.0), seconds))
 
 
 def http_class(status: Column, body: Column) -> Column:

@@ -65,26 +65,28 @@ def _schema(text: str) -> T.StructType:
 
 RECORD = "name string, version string, build string, build_number int, subdir string, fn string, noarch string, depends array<string>, extra_depends map<string,array<string>>, name_resolutions array<struct<source_name:string,target_name:string>>"
 
-TABLES = {
-    t.name: t
-    for t in (
-        Table("remote_index", _schema("name string!, serial long!, updated_at timestamp!"), ("name",)),
-        Table(
-            "artifacts",
-            _schema(
-                "id long!, filename string!, project string!, target_name string, state int!, lane int!, url string!, sha256 string, metadata_sha256 string, size long, upload_time string,"
-                " requires string, yanked boolean!, yanked_reason string, blob_sha256 string, serial long!, change_seq long!, deleted_at timestamp, updated_at timestamp!"
-            ),
-            ("id",),
-            ("filename",),
-            {"blob_sha256": ("blobs", "sha256")},
-        ),
-        Table("segments", _schema("id long!, sealed_at timestamp, bytes long, records long, footer_sha string"), ("id",)),
-        Table("blobs", _schema("sha256 string!, segment_id long!, block_no long!, offset long!, length long!"), ("sha256",), (), {"segment_id": ("segments", "id")}),
-        Table("payloads", _schema("artifact_id long!, payload binary!, name_map binary, requires_prerelease boolean!, version string!"), ("artifact_id",), (), {"artifact_id": ("artifacts", "id")}),
-        Table("skips", _schema("artifact_id long!, stage string!, reason string!, permanent boolean!, version string, created_at timestamp!"), ("artifact_id", "stage")),
-        Table("work", _schema("artifact_id long!, stage string!, attempts int!, next_attempt_at timestamp!, last_error string, quarantined_at timestamp"), ("artifact_id", "stage")),
-        Table("errors", _schema("id long!, artifact_id long, error_category string!, error_subcat string, details string, version string!, created_at timestamp!"), ("id",)),
-        Table("unlinked_blobs", _schema("filename string!, sha256 string!, noted_at timestamp!"), ("filename",)),
-    )
-}
+# Columns by what they are for; an artifact has all four groups.
+WHAT = "id long!, filename string!, project string!, target_name string"
+REMOTE = "url string!, sha256 string, metadata_sha256 string, size long, requires string, upload_time string, yanked boolean!, yanked_reason string"
+PROGRESS = "state int!, lane int!, blob_sha256 string, deleted_at timestamp"
+CLOCKS = "serial long!, change_seq long!, updated_at timestamp!"
+#: What an outcome belongs to.
+STAGE_OF = "artifact_id long!, stage string!"
+
+
+def _tables(*tables: Table) -> dict[str, Table]:
+    return {t.name: t for t in tables}
+
+
+#: The archive, then the artifacts that point into it, then what stages have to say about artifacts, then remote state.
+TABLES = _tables(
+    Table("segments", _schema("id long!, records long, bytes long, sealed_at timestamp"), ("id",)),
+    Table("blobs", _schema("sha256 string!, segment_id long!, block_no long!, offset long!, length long!"), ("sha256",), references={"segment_id": ("segments", "id")}),
+    Table("unlinked_blobs", _schema("filename string!, sha256 string!"), ("filename",)),
+    Table("artifacts", _schema(", ".join([WHAT, REMOTE, PROGRESS, CLOCKS])), ("id",), ("filename",), {"blob_sha256": ("blobs", "sha256")}),
+    Table("payloads", _schema("artifact_id long!, version string!, requires_prerelease boolean!, payload binary!"), ("artifact_id",), references={"artifact_id": ("artifacts", "id")}),
+    Table("work", _schema(f"{STAGE_OF}, attempts int!, next_attempt_at timestamp!, quarantined_at timestamp"), ("artifact_id", "stage")),
+    Table("skips", _schema(f"{STAGE_OF}, permanent boolean!, version string, reason string!, created_at timestamp!"), ("artifact_id", "stage")),
+    Table("errors", _schema("id long!, artifact_id long, error_category string!, version string!, details string, created_at timestamp!"), ("id",)),
+    Table("remote_index", _schema("name string!, serial long!, updated_at timestamp!"), ("name",)),
+)

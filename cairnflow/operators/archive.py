@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnflow.model import BLOCK_BYTES, SEAL_BYTES, ZSTD_LEVEL
+from cairnflow.functions.scalars import segment_number
+from cairnflow.model import BLOCK_BYTES, SEAL_AGE_S, SEAL_BYTES, ZSTD_LEVEL
 
 MAGIC = b"CAIRNSG1"
 TRAILER = struct.Struct("<8sQQI4s")
@@ -114,9 +115,10 @@ def iter_records(data: bytes) -> Iterator[tuple[str, int, int, int, bytes]]:
             yield sha, n, at, size, block[at : at + size]
 
 
-def build_segments(blobs: DataFrame, body: str, order: list[str], segments: int, block_bytes: int = BLOCK_BYTES, seal_bytes: int = SEAL_BYTES) -> DataFrame:
+def build_segments(blobs: DataFrame, body: str, order: list[str], segments: int, block_bytes: int = BLOCK_BYTES, seal_bytes: int = SEAL_BYTES, first_id: int = 1) -> DataFrame:
     """segment_id, data, records, bytes: the distinct bodies, in ranges of the order (neighbours compress together), a
-    new segment file whenever one is full. A segment is bounded, so is what a task holds."""
+    new segment file whenever one is full. A segment is bounded, so is what a task holds. Ids start at ``first_id`` (see
+    ``next_segment_id``); range k of n takes k, k + n, k + 2 n and so on, so that none is taken twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -124,7 +126,7 @@ def build_segments(blobs: DataFrame, body: str, order: list[str], segments: int,
         part, count, builder = TaskContext.get().partitionId(), 0, SegmentBuilder(block_bytes)
 
         def sealed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"segment_id": pa.array([part * 1_000_000 + count], pa.int64()), "data": pa.array([builder.seal()], pa.binary()), "records": pa.array([len(builder.records)], pa.int64())})
+            return pa.RecordBatch.from_pydict({"segment_id": pa.array([first_id + part + count * segments], pa.int64()), "data": pa.array([builder.seal()], pa.binary()), "records": pa.array([len(builder.records)], pa.int64())})
 
         for batch in batches:
             for data in batch.column(0).to_pylist():
@@ -172,12 +174,87 @@ def read_records(segments: DataFrame) -> DataFrame:
     return segments.select("segment_id", "data").mapInArrow(run, "segment_id long, sha256 string, body binary")
 
 
-def read_blobs(segments: DataFrame, wanted: DataFrame) -> DataFrame:
-    """sha256, body, outcome (ok, corrupt_blob, archive_blob_missing) of wanted(sha256): the records of the segments
-    that hold them, each block read once however many of its records are asked for."""
-    found = read_records(segments).join(wanted.select("sha256").distinct(), "sha256", "left_semi").groupBy("sha256").agg(F.first("body").alias("body"))
-    outcome = F.when(F.col("body").isNull(), "archive_blob_missing").when(F.sha2("body", 256) != F.col("sha256"), "corrupt_blob").otherwise("ok")
-    return wanted.select("sha256").distinct().join(found, "sha256", "left").select("sha256", "body", outcome.alias("outcome"))
+def segment_blocks(segments: DataFrame) -> DataFrame:
+    """segment_id, block_no, frame, raw_length: the compressed blocks, a row each, so that a reader takes those it needs.
+    Blocks of files whose footer cannot be read are left out; ``verify`` reports them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sid, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    blocks = read_footer(data)["blocks"]
+                except CorruptSegment:
+                    continue
+                for n, (offset, length, raw) in enumerate(blocks):
+                    yield pa.RecordBatch.from_pydict({"segment_id": pa.array([sid], pa.int64()), "block_no": pa.array([n], pa.int64()), "frame": pa.array([data[offset : offset + length]], pa.binary()), "raw_length": pa.array([raw], pa.int64())})
+
+    return segments.where("data is not null").select("segment_id", "data").mapInArrow(run, "segment_id long, block_no long, frame binary, raw_length long")
+
+
+def read_by_block(blocks: DataFrame, index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """sha256, body of the wanted(sha256) that the index has: the places are grouped by block, and only blocks that hold
+    one are moved and decompressed, once each, however many of their records are asked for. A block is bounded, so is
+    its list of places. A block that cannot be decompressed gives its records with a null body."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        for batch in batches:
+            for frame, raw, places in zip(*(batch.column(c).to_pylist() for c in ("frame", "raw_length", "places")), strict=True):
+                try:
+                    block = zstandard.ZstdDecompressor().decompress(frame, max_output_size=raw)
+                    bodies = [block[p["offset"] : p["offset"] + p["length"]] for p in places]
+                except zstandard.ZstdError:
+                    bodies = [None] * len(places)
+                yield pa.RecordBatch.from_pydict({"sha256": pa.array([p["sha256"] for p in places]), "body": pa.array(bodies, pa.binary())})
+
+    places = index.join(wanted.select("sha256").distinct(), "sha256", "left_semi").dropDuplicates(["sha256"])
+    asked = places.groupBy("segment_id", "block_no").agg(F.collect_list(F.struct("sha256", "offset", "length")).alias("places"))
+    return blocks.join(asked, ["segment_id", "block_no"]).select("frame", "raw_length", "places").mapInArrow(run, "sha256 string, body binary")
+
+
+def _outcome(indexed) -> Column:
+    return F.when(~indexed, "archive_blob_missing").when(F.col("body").isNull() | (F.sha2("body", 256) != F.col("sha256")), "corrupt_blob").otherwise("ok")
+
+
+def read_blobs(segments: DataFrame, wanted: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """sha256, body, outcome (ok, corrupt_blob, archive_blob_missing) of wanted(sha256), by the index (None: the footers')."""
+    index = footer_records(segments) if index is None else index
+    found = read_by_block(segment_blocks(segments), index, wanted).withColumn("indexed", F.lit(True))
+    return wanted.select("sha256").distinct().join(found, "sha256", "left").select("sha256", "body", _outcome(F.coalesce("indexed", F.lit(False))).alias("outcome"))
+
+
+def claimed_bodies(blocks: DataFrame, index: DataFrame, claimed: DataFrame) -> DataFrame:
+    """Every row of claimed(id, sha256, ...) with body and outcome, for conversion in bulk: ids that share a blob share
+    its read. A blob that the archive lacks is to be retried, a corrupt one to be skipped."""
+    found = read_by_block(blocks, index, claimed).withColumn("indexed", F.lit(True))
+    return claimed.join(found, "sha256", "left").withColumn("outcome", _outcome(F.coalesce("indexed", F.lit(False)))).drop("indexed")
+
+
+def next_segment_id(segments: DataFrame, names: DataFrame) -> int:
+    """One more than the greatest id of the segments table and of the file names: no run takes an id twice."""
+    known = segments.agg(F.max("id")).first()[0]
+    files = names.agg(F.max(segment_number(F.col("name")))).first()[0]
+    return 1 + max(known or 0, files or 0)
+
+
+def due_for_seal(open_files: DataFrame, now: Column, seal_bytes: int = SEAL_BYTES, seal_age_s: float = SEAL_AGE_S) -> DataFrame:
+    """open_files(id, bytes, opened_at, ...) that are full or old enough; empty ones never are."""
+    age = (F.unix_micros(now) - F.unix_micros(F.col("opened_at"))) / 1e6
+    return open_files.where((F.col("bytes") > 0) & ((F.col("bytes") >= seal_bytes) | (age >= seal_age_s)))
+
+
+def sealed(segments: DataFrame, done: DataFrame, now: Column) -> DataFrame:
+    """The segments table with done(id, bytes, records) sealed now; ids it does not have are new rows."""
+    d = done.select("id", F.col("bytes").alias("_bytes"), F.col("records").alias("_records"), F.lit(True).alias("_done"))
+    j = segments.join(d, "id", "full_outer")
+    new = lambda c, x: F.when(F.col("_done"), x).otherwise(F.col(c)).alias(c)
+    return j.select("id", new("sealed_at", now), new("bytes", F.col("_bytes")), new("records", F.col("_records")))
+
+
+def stale_open(open_files: DataFrame, segments: DataFrame) -> DataFrame:
+    """Open files of segments that are not sealed: what a crash left behind, to be truncated before anything is added."""
+    return open_files.join(segments.where("sealed_at is not null").select("id"), "id", "left_anti")
 
 
 def verify(segments: DataFrame, index: DataFrame) -> DataFrame:

@@ -59,13 +59,8 @@ def oldest_pending(spark, sf_dir):
     return health.oldest_pending(read(spark, sf_dir, "orders").where("o_orderstatus = 'O'"), "o_orderdate", at(NOW))
 
 
-@query("state_census", f"WITH {ARTIFACTS_SQL}, s AS (SELECT * FROM (VALUES (0, 'NEED_METADATA'), (1, 'NO_METADATA'), (2, 'NEED_CONVERT'), (3, 'READY'), (4, 'SKIPPED'), (5, 'QUARANTINED'), (6, 'DELETED')) v(state, name)) SELECT s.state, s.name, count(a.id) AS n FROM s LEFT JOIN artifacts a ON a.state = s.state AND a.project < 'src15' GROUP BY 1, 2")
+@query("state_census", f"WITH {ARTIFACTS_SQL}, s AS (SELECT * FROM (VALUES (0, 'NEED_METADATA'), (1, 'NO_METADATA'), (2, 'NEED_CONVERT'), (3, 'READY'), (4, 'SKIPPED'), (5, 'QUARANTINED'), (6, 'DELETED')) v(state, name)) SELECT s.state, s.name, count(a.id) AS n FROM s LEFT JOIN artifacts a ON a.state = s.state GROUP BY 1, 2")
 def state_census(spark, sf_dir):
-    return health.state_census(artifacts(spark, sf_dir).where("project < 'src15'"))
-
-
-@query("state_census_all", f"WITH {ARTIFACTS_SQL}, s AS (SELECT * FROM (VALUES (0, 'NEED_METADATA'), (1, 'NO_METADATA'), (2, 'NEED_CONVERT'), (3, 'READY'), (4, 'SKIPPED'), (5, 'QUARANTINED'), (6, 'DELETED')) v(state, name)) SELECT s.state, s.name, count(a.id) AS n FROM s LEFT JOIN artifacts a ON a.state = s.state GROUP BY 1, 2")
-def state_census_all(spark, sf_dir):
     return health.state_census(artifacts(spark, sf_dir))
 
 
@@ -173,13 +168,8 @@ def reconcile_state(spark, sf_dir):
     return out.select("filename", "action", "new_state", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("drop_payload", "drop_skip")], "blob_sha256")
 
 
-@query("initial_state", "SELECT doc_id, CAST(CASE WHEN doc_id % 30 = 0 THEN 2 WHEN doc_id % 4 <> 0 THEN 0 ELSE 1 END AS INTEGER) AS state FROM documents WHERE doc_id % 10 = 0")
+@query("initial_state", "SELECT doc_id, CAST(CASE WHEN doc_id % 30 = 0 THEN 2 WHEN doc_id % 4 <> 0 THEN 0 ELSE 1 END AS INTEGER) AS state FROM documents")
 def initial_state(spark, sf_dir):
-    return _first_states(read(spark, sf_dir, "documents").where("doc_id % 10 = 0"))
-
-
-@query("initial_state_all", "SELECT doc_id, CAST(CASE WHEN doc_id % 30 = 0 THEN 2 WHEN doc_id % 4 <> 0 THEN 0 ELSE 1 END AS INTEGER) AS state FROM documents")
-def initial_state_all(spark, sf_dir):
     return _first_states(read(spark, sf_dir, "documents"))
 
 
@@ -194,13 +184,8 @@ def apply_plan_sequence(spark, sf_dir):
     return diff.with_sequence(touched, ["filename"], 5000)
 
 
-@query("project_gone", f"WITH {ARTIFACTS_SQL} SELECT id, CAST(CASE WHEN project = 'src3' THEN 6 ELSE state END AS INTEGER) AS state FROM artifacts WHERE project IN ('src3', 'src4')")
+@query("project_gone", f"WITH {ARTIFACTS_SQL} SELECT id, CAST(CASE WHEN project = 'src3' THEN 6 ELSE state END AS INTEGER) AS state FROM artifacts")
 def project_gone(spark, sf_dir):
-    return _without_project(artifacts(spark, sf_dir).where("project in ('src3', 'src4')"))
-
-
-@query("project_gone_all", f"WITH {ARTIFACTS_SQL} SELECT id, CAST(CASE WHEN project = 'src3' THEN 6 ELSE state END AS INTEGER) AS state FROM artifacts")
-def project_gone_all(spark, sf_dir):
     return _without_project(artifacts(spark, sf_dir))
 
 

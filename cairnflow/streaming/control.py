@@ -6,8 +6,9 @@ Clocks are passed in; nothing here sleeps.
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from cairnflow import model
 
@@ -47,8 +48,10 @@ class TokenBucket:
         self.barred_until = max(self.barred_until, now + seconds)
 
 
-def one_second_burst(per_minute: float) -> float:
-    return max(1.0, per_minute / 60)
+def _bucket(per_minute: float) -> TokenBucket:
+    """A bucket that holds what one second brings, a whole token at least."""
+    rate = per_minute / 60
+    return TokenBucket(rate, max(1.0, rate))
 
 
 class HierarchicalLimiter:
@@ -56,8 +59,8 @@ class HierarchicalLimiter:
     time that refills one token. Grants never exceed the global bucket, and a reserve is always there for its child."""
 
     def __init__(self, global_per_minute: float, reserves: dict[str, float]):
-        self.total = TokenBucket(global_per_minute / 60, one_second_burst(global_per_minute))
-        self.own = {k: TokenBucket(v / 60, one_second_burst(v)) for k, v in reserves.items()}
+        self.total = _bucket(global_per_minute)
+        self.own = {k: _bucket(v) for k, v in reserves.items()}
         self.asked = dict.fromkeys(reserves, float("-inf"))
         self.acquired, self.denied = dict.fromkeys(reserves, 0), dict.fromkeys(reserves, 0)
 
@@ -78,34 +81,42 @@ class HierarchicalLimiter:
         self.own[child].penalise(now, seconds)
 
 
-@dataclass
-class CircuitBreaker:
-    """closed, open after so many failures in a row, half open after the recovery time: one trial decides."""
+class Breaker(NamedTuple):
+    """A circuit breaker's state: failures in a row, when it opened (None: closed), whether a trial call is out. It never
+    changes; the two functions below say which state comes next, so that a fold over any table or stream can use them."""
 
-    failures: int = model.BREAKER_FAILURES
-    recovery: float = model.BREAKER_RECOVERY_S
-    state: str = "closed"
     streak: int = 0
-    opened: float = 0.0
+    opened: float | None = None
     trial: bool = False
 
-    def allow(self, now: float) -> bool:
-        if self.state == "open" and now - self.opened >= self.recovery:
-            self.state, self.trial = "half_open", False
-        if self.state == "half_open":
-            if self.trial:
-                return False
-            self.trial = True
-            return True
-        return self.state == "closed"
+    @property
+    def name(self) -> str:
+        return "closed" if self.opened is None else "half_open" if self.trial else "open"
+
+
+def admitted(b: Breaker, now: float, recovery: float = model.BREAKER_RECOVERY_S) -> Breaker | None:
+    """The state with one more call under way; None where the call must wait. An open breaker lets a single trial
+    through once ``recovery`` seconds have gone by."""
+    if b.opened is None:
+        return b
+    return b._replace(trial=True) if not b.trial and now - b.opened >= recovery else None
+
+
+def settled(b: Breaker, now: float, failed: bool, failures: int = model.BREAKER_FAILURES) -> Breaker:
+    """The state after an admitted call's end: any success closes; a failed trial, or enough failures in a row, opens."""
+    if not failed:
+        return Breaker()
+    opens = b.trial or b.streak + 1 >= failures
+    return Breaker(b.streak + 1, now if opens else b.opened)
 
-    def success(self) -> None:
-        self.state, self.streak, self.trial = "closed", 0, False
 
-    def failure(self, now: float) -> None:
-        self.streak += 1
-        if self.state == "half_open" or self.streak >= self.failures:
-            self.state, self.opened, self.trial = "open", now, False
+def folded(b: Breaker, calls: Iterable[tuple[float, bool]], failures: int = model.BREAKER_FAILURES, recovery: float = model.BREAKER_RECOVERY_S) -> Breaker:
+    """The state after calls (time, failed) in order; those that are not admitted say nothing."""
+    for now, failed in calls:
+        under_way = admitted(b, now, recovery)
+        if under_way is not None:
+            b = settled(under_way, now, failed, failures)
+    return b
 
 
 @dataclass

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cairnflow import model
-from cairnflow.streaming.control import CircuitBreaker
+from cairnflow.streaming.control import Breaker, folded
 
 
 def micro_batches(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -61,37 +61,21 @@ def breaker_states(stream: DataFrame, key: str, ts: str, tie: str, failed: str)
     they are sorted before the fold."""
 
     def fold(k: tuple[Any], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        b = CircuitBreaker()
-        if state.exists:
-            b.state, b.streak, b.opened, b.trial = state.get
         rows = pd.concat(list(parts)).sort_values([ts, tie])
-        for t, bad in zip(rows[ts], rows[failed], strict=True):
-            now = t.timestamp()
-            if b.allow(now):
-                if bad:
-                    b.failure(now)
-                else:
-                    b.success()
-        state.update((b.state, b.streak, b.opened, b.trial))
-        yield pd.DataFrame({"key": [k[0]], "state": [b.state], "streak": [b.streak], "opened": [b.opened]})
+        b = folded(Breaker(*state.get) if state.exists else Breaker(), zip(rows[ts].map(lambda t: t.timestamp()), rows[failed], strict=True))
+        state.update(tuple(b))
+        yield pd.DataFrame({"key": [k[0]], "state": [b.name], "streak": [b.streak], "opened": pd.Series([b.opened], dtype="float64")})
 
-    return stream.groupBy(key).applyInPandasWithState(fold, BREAKER, "state string, streak int, opened double, trial boolean", "update", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(key).applyInPandasWithState(fold, BREAKER, "streak int, opened double, trial boolean", "update", GroupStateTimeout.NoTimeout)
 
 
 def breaker_batch(events: DataFrame, key: str, ts: str, tie: str, failed: str, failures: int = model.BREAKER_FAILURES, recovery: float = model.BREAKER_RECOVERY_S) -> DataFrame:
     """The same fold over a finished table."""
 
     def fold(part: pd.DataFrame) -> pd.DataFrame:
-        b = CircuitBreaker(failures, recovery)
         part = part.sort_values([ts, tie])
-        for t, bad in zip(part[ts], part[failed], strict=True):
-            now = t.timestamp()
-            if b.allow(now):
-                if bad:
-                    b.failure(now)
-                else:
-                    b.success()
-        return pd.DataFrame({"key": [part[key].iloc[0]], "state": [b.state], "streak": [b.streak], "opened": [b.opened]})
+        b = folded(Breaker(), zip(part[ts].map(lambda t: t.timestamp()), part[failed], strict=True), failures, recovery)
+        return pd.DataFrame({"key": [part[key].iloc[0]], "state": [b.name], "streak": [b.streak], "opened": pd.Series([b.opened], dtype="float64")})
 
     return events.select(key, ts, tie, failed).groupBy(key).applyInPandas(fold, BREAKER)
 

@@ -1,6 +1,7 @@
 """Rules that hand-built rows show best."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -312,15 +313,17 @@ def test_publish_trigger_edges(spark):
 
 
 def test_breaker():
-    b = control.CircuitBreaker()
+    b = control.Breaker()
     for _ in range(5):
-        assert b.allow(0)
-        b.failure(0)
-    assert not b.allow(59.9) and b.allow(60) and b.state == "half_open" and not b.allow(60)
-    b.failure(61)
-    assert b.state == "open" and b.allow(121)
-    b.success()
-    assert b.state == "closed" and b.streak == 0
+        b = control.settled(control.admitted(b, 0), 0, failed=True)
+    assert b.name == "open" and control.admitted(b, 59.9) is None
+    trial = control.admitted(b, 60)
+    assert trial.name == "half_open" and control.admitted(trial, 60) is None
+    again = control.settled(trial, 61, failed=True)
+    assert again.name == "open" and control.admitted(again, 120) is None
+    closed = control.settled(control.admitted(again, 121), 121, failed=False)
+    assert closed == control.Breaker()
+    assert control.folded(control.Breaker(), [(t, True) for t in range(30)]) == control.Breaker(5, 4)
 
 
 def test_limiter_reserves_and_total():
@@ -371,3 +374,59 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     q = states.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp2")).foreachBatch(lambda b, n: got.update({r.key: (r.state, r.streak) for r in b.collect()})).trigger(availableNow=True).start()
     q.awaitTermination()
     assert got == {r.key: (r.state, r.streak) for r in pipeline.breaker_batch(e, "user_id", "ts", "event_id", "failed").collect()}
+
+
+def test_retry_after_is_null_where_it_is_neither(spark):
+    rows = spark.createDataFrame([("soon",), (None,), ("-3",), ("7",)], "v string")
+    assert [r[0] for r in rows.select(S.retry_after_seconds(F.col("v"), F.lit("2024-01-31").cast("timestamp"))).collect()] == [None, None, 0.0, 7.0]
+
+
+def test_crc32_and_token_bucket_against_plain_python(spark):
+    import zlib
+
+    from cairnflow.plans import registry, registry_plans  # noqa: F401
+
+    folder = "/root/testdata/sf0.001"
+    got = registry.QUERIES["crc32_digest"](spark, folder)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = got.collect()
+    number = next(c for c, t in got.dtypes if t in ("bigint", "int") and c != "doc_id")
+    assert len(rows) == len(texts) and all(r[number] == zlib.crc32((texts[r.doc_id] or "").encode()) for r in rows)
+    bucket, tokens, last, given = control.TokenBucket(2.0, 3.0), 3.0, 0.0, 0
+    for step in range(200):
+        now = step * 0.17
+        tokens, last = min(3.0, tokens + (now - last) * 2.0), now
+        can = bucket.can(now)
+        assert can == (tokens >= 1 - 1e-9)
+        if can:
+            bucket.take(now)
+            tokens -= 1
+            given += 1
+    assert given > 60
+
+
+def test_segment_rules(spark):
+    at = lambda h: F.timestamp_add("HOUR", F.lit(h), F.lit("2024-01-01").cast("timestamp"))
+    segments = spark.createDataFrame([(3, None, None, None), (7, "2024-01-01", 10, 1)], "id long, sealed_at string, bytes long, records long").withColumn("sealed_at", F.col("sealed_at").cast("timestamp"))
+    names = spark.createDataFrame([("000009.zst",), ("junk",)], "name string")
+    assert archive.next_segment_id(segments, names) == 10 and archive.next_segment_id(segments.limit(0), names.limit(0)) == 1
+    files = spark.createDataFrame([(3, 64 << 20), (7, 5), (8, 0), (9, 5)], "id long, bytes long").withColumn("opened_at", F.when(F.col("id") == 9, at(-7)).otherwise(at(-1)))
+    assert sorted(r.id for r in archive.due_for_seal(files, at(0)).collect()) == [3, 9]
+    done = spark.createDataFrame([(3, 99, 4), (12, 5, 1)], "id long, bytes long, records long")
+    assert {(r.id, r.bytes, r.records, r.sealed_at is not None) for r in archive.sealed(segments, done, at(0)).collect()} == {(3, 99, 4, True), (7, 10, 1, True), (12, 5, 1, True)}
+    assert sorted(r.id for r in archive.stale_open(files, segments).collect()) == [3, 8, 9]
+
+
+def test_blocks_are_read_once_and_faults_are_told(spark):
+    bodies = [(n, f"body {n} " * 40) for n in range(200)]
+    built = archive.build_segments(spark.createDataFrame(bodies, "id long, text string"), "text", ["id"], 2, block_bytes=4096, seal_bytes=300)
+    rows = built.collect()
+    assert len({r.segment_id for r in rows}) == len(rows) > 2
+    segments = spark.createDataFrame(rows, built.schema)
+    index, blocks = archive.footer_records(segments), archive.segment_blocks(segments)
+    claimed = spark.createDataFrame([(n, hashlib.sha256(t.encode()).hexdigest()) for n, t in bodies[::9]] + [(500, "no such")], "id long, sha256 string")
+    got = {r.id: (r.outcome, r.body) for r in archive.claimed_bodies(blocks, index, claimed).collect()}
+    assert got[500] == ("archive_blob_missing", None) and all(got[n] == ("ok", bytearray(t.encode())) for n, t in bodies[::9])
+    broken = blocks.withColumn("frame", F.when(F.col("block_no") == 0, F.lit(b"broken")).otherwise(F.col("frame")))
+    told = {r.outcome for r in archive.claimed_bodies(broken, index, claimed).collect()}
+    assert told == {"ok", "corrupt_blob", "archive_blob_missing"}

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from cairnflow.plans import queue_plans, registry, registry_plans  # noqa: F401
+from cairnflow.plans import ingest_plans, queue_plans, registry, registry_plans  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -49,7 +49,7 @@ def test_plans_are_the_ones_wanted(spark, sf):
     assert "text" not in census.split("ReadSchema")[1]
 
 
-ALL_ROWS = {"bridge_lookup_all": ("documents", "doc_id"), "yanked_parse_all": ("events", "event_id"), "metadata_hash_resolve_all": ("events", "event_id"), "index_page_parse_all": ("part", "p_partkey"), "resolution_dedup_all": ("events", "user_id")}
+ALL_ROWS = {"bridge_lookup": ("documents", "doc_id"), "yanked_parse": ("events", "event_id"), "metadata_hash_resolve": ("events", "event_id"), "index_page_parse": ("part", "p_partkey"), "resolution_dedup": ("events", "user_id")}
 
 
 @pytest.mark.parametrize("name", sorted(ALL_ROWS))
@@ -60,6 +60,6 @@ def test_every_key_has_a_row(spark, sf, duck, name):
 
 def test_all_artifacts_are_counted_and_read(spark, sf, duck):
     n, texts = duck.execute("SELECT count(*), count(DISTINCT text) FROM documents").fetchone()
-    assert sum(r.n for r in registry.QUERIES["state_census_all"](spark, sf).collect()) == n
-    assert registry.QUERIES["initial_state_all"](spark, sf).count() == registry.QUERIES["project_gone_all"](spark, sf).count() == n
-    assert registry.QUERIES["blob_read_all"](spark, sf).count() == texts + 1
+    assert sum(r.n for r in registry.QUERIES["state_census"](spark, sf).collect()) == n
+    assert registry.QUERIES["initial_state"](spark, sf).count() == registry.QUERIES["project_gone"](spark, sf).count() == n
+    assert registry.QUERIES["blob_read"](spark, sf).count() == texts + 1
