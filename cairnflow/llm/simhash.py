@@ -8,7 +8,7 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnflow.llm.common import free_name, keyed_texts, slices, text_or_empty, written
@@ -280,6 +280,42 @@ def alike_pairs(pairs: DataFrame, docs: DataFrame, size: int, least: float, id_c
     return both.select("u", "v", "a", "b").mapInArrow(_alike(size, least), "u long, v long").distinct()
 
 
+def _distinct_hashes(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            sets = [np.unique(np.concatenate(list(hashes(x.encode("utf-8", "surrogatepass").lower().split(), size)))).view(np.int64) for x in part.column("text").to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("own_key"), pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["text_key", "n", "grams"])
+
+    return run
+
+
+def prefix_pairs(open_texts: DataFrame, docs: DataFrame, size: int, least: float, id_col: str, text_col: str) -> DataFrame:
+    """u, v: pairs of ``open_texts`` (text_key, root) of different roots, among them all of a similarity of ``least``.
+
+    Of n shingles such a pair shares at least ``least * n``, so the two share one of each one's ``n - ceil(least * n) + 1``
+    rarest. Rare ones come first: a passage that thousands of texts hold makes no pairs unless it fills them, and a
+    shingle of one text takes its place in the order but is never joined.
+    """
+    texts = keyed_texts(docs, id_col, text_col).withColumn("own_key", F.xxhash64("text"))
+    texts = texts.join(open_texts.select(F.col("text_key").alias("own_key")), "own_key").select("own_key", "text").dropDuplicates(["own_key"])
+    sets = written(texts.mapInArrow(_distinct_hashes(size), "text_key long, n int, grams array<long>"), "shingle-sets")
+    grams = sets.select("text_key", "n", F.explode("grams").alias("gram"))
+    # written, so that both sides of the next join have an exchange of their own and a hot shingle can be split
+    common = written(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("held_by")).where("held_by > 1"), "common-shingles")
+    place = Window.partitionBy("text_key").orderBy("held_by", "gram")
+    alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("text_key"))
+    ranked = grams.join(common, "gram").withColumn("place", F.row_number().over(place) + alone)
+    prefix = ranked.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)
+    prefix = written(prefix.join(open_texts, "text_key").select("gram", "text_key", "n", "place", "root"), "prefixes")
+    one, two = prefix.alias("one"), prefix.alias("two")
+    fits = F.least("one.n", "two.n") >= F.greatest("one.n", "two.n") * least - 1e-9
+    # from the rarest shingle that two texts share on they hold no more in common than the shorter rest
+    fits &= 1 + F.least(F.col("one.n") - F.col("one.place"), F.col("two.n") - F.col("two.place")) >= (F.col("one.n") + F.col("two.n")) * (least / (1 + least)) - 1e-9
+    near = (F.col("one.gram") == F.col("two.gram")) & (F.col("one.text_key") < F.col("two.text_key")) & (F.col("one.root") != F.col("two.root")) & fits
+    return one.join(two, near).select(F.col("one.text_key").alias("u"), F.col("two.text_key").alias("v")).distinct()
+
+
 def _ordered(u, v) -> list:
     return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
 
@@ -288,9 +324,9 @@ def alike_components(texts: DataFrame, shared: DataFrame, near: DataFrame, docs:
     """node, root: the text_keys that verified links connect, and the smallest that each reaches.
 
     ``texts`` has text_key, fp; ``shared`` bucket, value, text_key: all texts of a bucket are candidates of each other;
-    ``near`` u, v: all texts of two fingerprints are. First each text meets the smallest of its bucket alone. Then every
-    other candidate pair whose ends are still apart is verified too, so what is left out could not join anything, and
-    a large group of copies costs a row each and not its square.
+    ``near`` u, v: all texts of two fingerprints are. First each text meets the smallest of its bucket alone. Then the
+    texts with a candidate that is still apart meet again by their rarest shingles, and every pair that can be alike is
+    verified. So what is left out could not join anything, and a large group of copies costs a row each and not its square.
     """
     firsts = written(shared.groupBy("bucket", "value").agg(F.min("text_key").alias("first"), F.max("text_key").alias("last")).where("first < last").drop("last"), "firsts")
     heads = texts.groupBy("fp").agg(F.min("text_key").alias("first"))
@@ -303,13 +339,13 @@ def alike_components(texts: DataFrame, shared: DataFrame, near: DataFrame, docs:
     members = shared.join(firsts, ["bucket", "value"]).select("bucket", "value", "text_key").join(texts.select("text_key", "root"), "text_key")
     members = written(members, "members")
     split = members.groupBy("bucket", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket", "value")
-    apart = written(members.join(split, ["bucket", "value"]), "apart")
-    one, two = apart.alias("one"), apart.alias("two")
-    same = (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.value") == F.col("two.value"))
-    rest = one.join(two, same & (F.col("one.text_key") < F.col("two.text_key")) & (F.col("one.root") != F.col("two.root"))).select(F.col("one.text_key").alias("u"), F.col("two.text_key").alias("v"))
+    apart = members.join(split, ["bucket", "value"]).select("text_key")
     ends = [texts.select(F.col("fp").alias(x), F.col("text_key").alias(f"{x}_key"), F.col("root").alias(f"{x}_root")) for x in "uv"]
-    rest = rest.union(near.join(ends[0], "u").join(ends[1], "v").where("u_root <> v_root").select(*_ordered("u_key", "v_key")))
-    rest = written(rest.distinct().join(tried, ["u", "v"], "left_anti"), "near-pairs")
+    across = near.join(ends[0], "u").join(ends[1], "v").where("u_root <> v_root")
+    apart = apart.union(across.select(F.explode(F.array("u_key", "v_key")).alias("text_key"))).distinct()
+    apart = written(texts.join(apart, "text_key").select("text_key", "root"), "apart")
+    rest = prefix_pairs(apart, docs, size, least, id_col, text_col)
+    rest = written(rest.join(tried, ["u", "v"], "left_anti"), "near-pairs")
     return components(links.union(alike_pairs(rest, docs, size, least, id_col, text_col)))
 
 

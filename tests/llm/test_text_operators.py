@@ -709,3 +709,32 @@ def test_toxicity(spark, sample, edge, none):
     assert {r.score for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0}
     flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert {r.doc_id: r.score for r in toxicity.toxicity(docs, flipped).collect()} == {i: r.score for i, r in got.items()}
+
+
+def test_prefix_pairs_hold_every_alike_pair(spark):
+    """All pairs of five-word Jaccard similarity 0.8 come out, of a family of edited copies, of texts around one passage,
+    and of texts of exactly 0.8; without words, short and repeated texts too."""
+    dice = random.Random(5)
+    word = lambda: "".join(dice.choice("abcdefghij") for _ in range(4))
+    base, passage = [word() for _ in range(150)], [word() for _ in range(60)]
+    texts = ["", " ", "one", "One", "a b c d e f g h", "a b c d e f g h i"]
+    for k in range(60):
+        family = list(base)
+        for at in dice.sample(range(150), k % 5):
+            family[at] = word()
+        texts += [" ".join(family), " ".join(passage + [word() for _ in range(k % 17)])]
+    texts.append(texts[-1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = docs.selectExpr("xxhash64(text) as text_key", "text")
+    keys = {r.text: r.text_key for r in table.collect()}
+    open_texts = table.select("text_key", F.col("text_key").alias("root")).distinct()
+    got = {(r.u, r.v) for r in simhash.prefix_pairs(open_texts, docs, 5, 0.8, "doc_id", "text").collect()}
+
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+    sets = {k: shingles(x) for x, k in keys.items()}
+    alike = {(u, v) for u in sets for v in sets if u < v and len(sets[u] & sets[v]) * 5 >= 4 * len(sets[u] | sets[v])}
+    assert len(alike) > 100 and alike <= got
+    assert len(got) < len(sets) * (len(sets) - 1) // 2
