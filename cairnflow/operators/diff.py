@@ -71,14 +71,21 @@ def reconcile(local: DataFrame, remote: DataFrame, unlinked: DataFrame) -> DataF
 def with_sequence(df: DataFrame, order: list[str], start: int, column: str = "change_seq", partitions: int | None = None) -> DataFrame:
     """``column``: start + 1, start + 2, ... in the order given, without one task that holds all rows.
 
-    Rows are range-partitioned and numbered inside their partition; the partitions' sizes, one number each, are summed
-    up before. The rows are numbered twice from the same partitioning, so ``order`` must be unique."""
-    cut = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    parts = cut.withColumn("_part", F.spark_partition_id())
-    sizes = parts.groupBy("_part").count()
-    before = F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return parts.withColumn("_n", local).join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part").withColumn(column, (F.lit(start) + F.col("_before") + F.col("_n")).cast("long")).drop("_part", "_n", "_before")
+    The keys alone are range-partitioned once; of each partition stay its first key and the number of rows before it,
+    one row of them in all, which goes to every row. A row's range follows from its key by binary search, so no second
+    partitioning has to come out like the first: Spark samples the bounds of each anew and joins small partitions as it
+    likes. ``df`` is read twice and must give the same rows; rows of equal keys are numbered in any order."""
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.select(*order).repartitionByRange(parts, *order).select(F.spark_partition_id().alias("_part"), F.struct(*order).alias("_key"))
+    sizes = cut.groupBy("_part").agg(F.min("_key").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = sizes.select(F.struct("_first", before.alias("_before")).alias("_range")).agg(F.array_sort(F.collect_list("_range")).alias("_ranges"))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(parts.bit_length()))])
+    # how many ranges begin at or before the key; beyond the last one get() is null
+    begun = F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(F.col("_ranges"), n + step - 1)["_first"] <= F.struct(*order), n + step).otherwise(n))
+    placed = df.crossJoin(F.broadcast(ranges)).withColumn("_before", F.get(F.col("_ranges"), begun - 1)["_before"]).drop("_ranges")
+    local = F.row_number().over(Window.partitionBy("_before").orderBy(*order))
+    return placed.withColumn(column, (F.lit(start) + F.col("_before") + local).cast("long")).drop("_before")
 
 
 def cdc_since(df: DataFrame, cursor: int) -> DataFrame:

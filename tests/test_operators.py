@@ -78,6 +78,18 @@ def test_sequence_is_dense_and_ordered(spark):
     assert [x[-1] for x in got] == list(range(11, 1011))
 
 
+def test_sequence_is_that_of_the_order_with_any_columns_and_keys(spark):
+    df = spark.range(60000).select((F.col("id") * 7919 % 60000).alias("k"), F.col("id").cast("string").alias("v"), (F.col("id") % 3).alias("w")).where("w <> 1")
+    got = rows(diff.with_sequence(df, ["k"], 10, partitions=5).select("k", "v", "change_seq"), "k")
+    assert len(got) == 40000 and [x[-1] for x in got] == list(range(11, 40011))
+    two = df.select(F.when(F.col("k") % 5 != 0, F.col("k") % 7).alias("a"), F.col("k").cast("string").alias("b"), "v")
+    got = rows(diff.with_sequence(two, ["a", "b"], 0, "n"), "a", "b")
+    assert [x[-1] for x in got] == list(range(1, 40001))
+    same = rows(diff.with_sequence(df.select("w", "v"), ["w"], 0), "change_seq")
+    assert [x[-1] for x in same] == list(range(1, 40001)) and [x[0] for x in same] == [0] * 20000 + [2] * 20000
+    assert rows(diff.with_sequence(df.where("k < 0"), ["k"], 0)) == []
+
+
 def test_diff_treats_nulls_as_values(spark):
     a = spark.createDataFrame([(1, None), (2, "x")], "id long, v string")
     b = spark.createDataFrame([(1, None), (2, None)], "id long, v string")

@@ -63,3 +63,24 @@ def test_all_artifacts_are_counted_and_read(spark, sf, duck):
     assert sum(r.n for r in registry.QUERIES["state_census"](spark, sf).collect()) == n
     assert registry.QUERIES["initial_state"](spark, sf).count() == registry.QUERIES["project_gone"](spark, sf).count() == n
     assert registry.QUERIES["blob_read"](spark, sf).count() == texts + 1
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("name", ["apply_plan_sequence", "sequence_behind_last"])
+def test_sequences_over_many_partitions_are_those_of_sql(spark, tmp_path, name, adaptive):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT range AS doc_id, 'text' AS text, 'en' AS lang, 'src' || (range % 40) AS source, range % 1000 AS n_chars FROM range(60000)")
+    con.execute("CREATE TABLE labels AS SELECT doc_id, 1 AS quality, 0 AS toxic FROM documents WHERE doc_id % 5 < 2")
+    for t in ("documents", "labels"):
+        con.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+    settings = {"spark.sql.adaptive.enabled": adaptive, "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = registry.QUERIES[name](spark, str(tmp_path))
+        got = sorted(map(tuple, df.collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted(con.execute(f"SELECT {', '.join(df.columns)} FROM ({registry.ORACLE_SQL[name]})").fetchall())
